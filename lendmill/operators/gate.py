@@ -1,7 +1,7 @@
 """The validation gate: raw JSON text in, one judged row per distinct event out.
 
-The gate is one pass with one shuffle. Rules are plain column expressions generated
-from the contract; rule hits are kept as a comma-separated code list, which stays
+The gate is one pass with one shuffle. Rules are plain SQL expressions generated from
+the contract; rule hits are kept as a comma-separated code list, which stays
 inside generated code and is only exploded for the few rows that have one.
 
 Order of judgement: contract (incl. reason code) -> first arrival of an event id wins
@@ -11,9 +11,8 @@ Order of judgement: contract (incl. reason code) -> first arrival of an event id
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill import contract as C
@@ -27,7 +26,9 @@ ZONE_PATTERN = r"(Z|z|[+-]\d{2}:?\d{2})$"
 # A JSON key can be told from a string value by the colon after it: quotes inside
 # strings are escaped. These find text fields that hold another token, and a payload
 # that is text instead of an object.
-TEXT_TOKEN_PATTERN = r'"({names})"\s*:\s*[^"n\s]|"payload"\s*:\s*"'
+TEXT_TOKEN_PATTERN = r'"(?:(?:{names})"\s*:\s*[^"n\s]|payload"\s*:\s*")'
+# Text that could as well be the text of a number, a truth value, an object or an array.
+LOOKALIKE_PATTERN = r"(^| )(-?[0-9][0-9.eE+-]*|true|false)( |$)|[{\[]"
 FUTURE_TOLERANCE_MINUTES = 5
 LATE_AFTER_HOURS = 24
 BUSINESS_RULES = {
@@ -48,9 +49,21 @@ QUARANTINED = "quarantined"
 _CORRUPT = "__corrupt"
 
 
-def _code_list(codes: Sequence[Column]) -> Column:
-    """Comma-separated list of the codes that hit; empty text when none did."""
-    return F.concat_ws(",", *codes) if codes else F.lit("")
+def _text(value: str) -> str:
+    """SQL literal of a plain text or pattern (raw, so backslashes stay)."""
+    return f"r'{value}'"
+
+
+def _one_of(column: str, values: Sequence) -> str:
+    listed = ", ".join(_text(v) if isinstance(v, str) else str(v) for v in values)
+    return f"{column} IN ({listed})"
+
+
+def _code_list(rules: Sequence[tuple[str, str]]) -> str:
+    """Comma-separated list of the codes whose condition holds; empty text if none.
+
+    Rules are SQL text: the whole list is handed to Spark as one expression."""
+    return "concat_ws(',', " + ", ".join(f"IF({condition}, '{code}', NULL)" for code, condition in rules) + ")"
 
 
 def parse(raw: DataFrame, text: str = "raw_value") -> DataFrame:
@@ -59,164 +72,167 @@ def parse(raw: DataFrame, text: str = "raw_value") -> DataFrame:
     Adds the envelope columns (instants parsed, ids lower-cased), ``payload``, and
     helper columns starting with ``__`` that the contract rules need.
     """
-    envelope = F.from_json(
-        text,
-        C.envelope_text_schema(_CORRUPT),
-        {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"},
+    options = f"map('columnNameOfCorruptRecord', '{_CORRUPT}', 'allowSingleQuotes', 'false')"
+    envelope_type = _ddl(C.envelope_text_schema(_CORRUPT))
+    payload_type = _ddl(C.payload_schema().add(_CORRUPT, "string"))
+    staged = raw.selectExpr(
+        "*",
+        f"from_json({text}, '{envelope_type}', {options}) AS __envelope",
+        f"json_object_keys({text}) AS __keys",
+    ).selectExpr(
+        "*",
+        f"from_json(__envelope.payload, '{payload_type}', {options}) AS __payload",
+        "json_object_keys(__envelope.payload) AS __payload_keys",
     )
-    payload_type = C.payload_schema().add(_CORRUPT, "string")
-    payload = F.from_json(
-        "__envelope.payload", payload_type, {"columnNameOfCorruptRecord": _CORRUPT}
-    )
-    staged = raw.withColumn("__envelope", envelope).withColumn("__payload", payload)
 
-    def field(f: C.Field) -> Column:
-        value = F.col(f"__envelope.{f.name}")
+    def envelope_field(f: C.Field) -> str:
+        value = f"__envelope.{f.name}"
         if f.kind == "uuid":
-            value = F.lower(value)
+            value = f"lower({value})"
         if f.kind == "instant":
-            value = F.when(value.rlike(INSTANT_PATTERN + ZONE_PATTERN), value.try_cast("timestamp"))
-        return value.alias(f.name)
+            value = f"IF({value} RLIKE {_text(INSTANT_PATTERN + ZONE_PATTERN)}, try_cast({value} AS timestamp), NULL)"
+        return f"{value} AS {f.name}"
 
-    defaults = {f.name: f.default for f in C.payload_fields() if f.default}
     owner = {f.name: kind for kind, fields in C.PAYLOADS.items() for f in fields if f.default}
-    uuids = {f.name for f in C.payload_fields() if f.kind == "uuid"}
-
-    def payload_field(name: str) -> Column:
-        value = F.col(f"__payload.{name}")
-        if name in uuids:
-            value = F.lower(value)
-        if name in defaults:
-            absent = ~F.coalesce(F.array_contains("__payload_keys", name), F.lit(False))
-            is_owner = F.col("__envelope.event_type") == owner[name]
-            value = F.when(is_owner & absent, F.lit(defaults[name])).otherwise(value)
-        return value.alias(name)
-
-    trimmed = F.trim(F.col(text))
-    text_fields = [f.name for f in (*C.ENVELOPE, *C.payload_fields()) if f.kind in ("string", "uuid", "instant")]
-    other_token = F.col(text).rlike(TEXT_TOKEN_PATTERN.format(names="|".join(text_fields)))
-    keyed = staged.withColumn(
-        "__payload_keys", F.json_object_keys("__envelope.payload")
-    ).withColumn("__keys", F.json_object_keys(text))
-    return keyed.select(
+
+    def payload_field(f: C.Field) -> str:
+        value = f"__payload.{f.name}"
+        if f.kind == "uuid":
+            value = f"lower({value})"
+        if f.default:  # filled in where the field is absent, not where it is null
+            absent = f"__envelope.event_type = '{owner[f.name]}' AND NOT coalesce(array_contains(__payload_keys, '{f.name}'), false)"
+            value = f"IF({absent}, '{f.default}', {value})"
+        return f"'{f.name}', {value}"
+
+    payload = ", ".join(["'event_type', __payload.event_type", *[payload_field(f) for f in C.payload_fields()]])
+    instants = [f.name for f in C.ENVELOPE if f.kind == "instant"]
+    return staged.selectExpr(
         *raw.columns,
-        *[field(f) for f in C.ENVELOPE],
-        F.when(
-            F.col("__payload").isNotNull(),
-            F.struct(*[payload_field(f.name) for f in C.payload_schema()]),
-        ).alias("payload"),
-        (
-            F.col("__keys").isNull()
-            | F.col(f"__envelope.{_CORRUPT}").isNotNull()
-            | ~(F.startswith(trimmed, F.lit("{")) & F.endswith(trimmed, F.lit("}")))
-        ).alias("__invalid_json"),
-        (F.col(f"__payload.{_CORRUPT}").isNotNull() | other_token).alias("__wrong_type"),
-        *[F.col(f"__envelope.{f.name}").alias(f"__text_{f.name}") for f in C.ENVELOPE if f.kind == "instant"],
+        *[envelope_field(f) for f in C.ENVELOPE],
+        f"IF(__payload IS NULL, NULL, named_struct({payload})) AS payload",
+        f"__keys IS NULL OR __envelope.{_CORRUPT} IS NOT NULL"
+        f" OR NOT (startswith(trim({text}), '{{') AND endswith(trim({text}), '}}')) AS __invalid_json",
+        f"__payload.{_CORRUPT} IS NOT NULL OR {_other_token(text)} AS __wrong_type",
+        *[f"__envelope.{name} AS __text_{name}" for name in instants],
         "__keys",
         "__payload_keys",
     )
 
 
-def _unknown_keys(keys: str, known: Sequence[str]) -> Column:
-    extra = F.array_except(F.col(keys), F.array(*[F.lit(k) for k in known]))
-    return F.size(extra) > 0
+def _ddl(schema) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
+def _other_token(text: str) -> str:
+    """True if a text field holds a JSON number, truth value, object or array.
 
+    Only free text needs this; the other text fields have a vocabulary or a form that
+    no such token satisfies. The whole record is only searched where a value could come
+    from another token, judged by its look or by an unusual spelling of the key."""
+    free = [f.name for f in C.payload_fields() if f.kind == "string" and not f.choices]
+    names = "|".join(["schema_version", "trace_id", *free])
+    version = " OR ".join(f"""contains({text}, '"schema_version":{space}"')""" for space in ("", " "))
+    payload = " OR ".join(f"""contains({text}, '"payload":{space}{{')""" for space in ("", " "))
+    values = ", ".join(["__envelope.trace_id", *[f"__payload.{n}" for n in free]])
+    lookalike = f"concat_ws(' ', {values}) RLIKE {_text(LOOKALIKE_PATTERN)}"
+    search = f"{text} RLIKE {_text(TEXT_TOKEN_PATTERN.format(names=names))}"
+    return f"IF(({version}) AND ({payload}) AND NOT ({lookalike}), false, {search})"
 
-def _value_rules(field: C.Field, value: Column, scope: str) -> list[Column]:
-    """Codes for one field: absent, wrong form, outside its vocabulary or its limits."""
-    code = f"{scope}{field.name}"
-    rules = [F.when(value.isNull(), f"{code}:missing")]
+
+def _unknown_keys(keys: str, scope: str, known: Sequence[str]) -> str:
+    """True if the object has a key that is not known. When as many known fields have a
+    value as there are keys there can be no other key; the set difference is only
+    computed for the rest."""
+    present = " + ".join(f"int({scope}{k} IS NOT NULL)" for k in known)
+    listed = ", ".join(f"'{k}'" for k in known)
+    return f"IF(size({keys}) = {present}, false, size(array_except({keys}, array({listed}))) > 0)"
+
+
+def _value_rules(field: C.Field, scope: str) -> list[tuple[str, str]]:
+    """Rules of one field: absent, wrong form, outside its vocabulary or its limits."""
+    column = code = f"{scope}{field.name}"
+    rules = [(f"{code}:missing", f"{column} IS NULL")]
     if field.kind == "uuid":
-        rules.append(F.when(~value.rlike(UUID_PATTERN), f"{code}:format"))
+        rules.append((f"{code}:format", f"NOT {column} RLIKE {_text(UUID_PATTERN)}"))
     if field.choices:
-        rules.append(F.when(~value.isin(*field.choices), f"{code}:choice"))
+        rules.append((f"{code}:choice", f"NOT {_one_of(column, field.choices)}"))
     if field.length:
         low, high = field.length
-        rules.append(F.when(~F.char_length(value).between(low, high), f"{code}:length"))
-    limits = []
-    if field.low is not None:
-        limits.append(value < field.low)
-    if field.above is not None:
-        limits.append(value <= field.above)
-    if field.high is not None:
-        limits.append(value > field.high)
+        rules.append((f"{code}:length", f"char_length({column}) NOT BETWEEN {low} AND {high}"))
+    limits = [
+        f"{column} {sign} {limit!r}{'' if isinstance(limit, int) else 'D'}"
+        for sign, limit in (("<", field.low), ("<=", field.above), (">", field.high))
+        if limit is not None
+    ]
     if limits:
-        rules.append(F.when(reduce(lambda a, b: a | b, limits), f"{code}:range"))
+        rules.append((f"{code}:range", " OR ".join(limits)))
     return rules
 
 
-def contract_codes() -> Column:
+def contract_codes_sql() -> str:
     """All contract rules at once, as one code list."""
-    envelope: list[Column] = [F.when(_unknown_keys("__keys", [f.name for f in C.ENVELOPE] + ["payload"]), "unknown_field")]
+    names = [f.name for f in C.ENVELOPE]
+    rules = [("unknown_field", _unknown_keys("__keys", "", [*names, "payload"]))]
     for f in C.ENVELOPE:
-        value = F.col(f.name)
         if f.kind == "instant":
-            text = F.col(f"__text_{f.name}")
-            envelope += [
-                F.when(text.isNull(), f"{f.name}:missing"),
-                F.when(text.rlike(INSTANT_PATTERN + "$"), f"{f.name}:zone")
-                .when(text.isNotNull() & value.isNull(), f"{f.name}:format"),
+            text = f"__text_{f.name}"
+            no_zone = f"coalesce({text} RLIKE {_text(INSTANT_PATTERN + '$')}, false)"
+            rules += [
+                (f"{f.name}:missing", f"{text} IS NULL"),
+                (f"{f.name}:zone", no_zone),
+                (f"{f.name}:format", f"{text} IS NOT NULL AND {f.name} IS NULL AND NOT {no_zone}"),
             ]
         else:
-            envelope += _value_rules(f, value, "")
-    envelope.append(F.when(~F.col("event_type").isin(*C.EVENT_TYPES), "event_type:choice"))
+            rules += _value_rules(f, "")
+    rules.append(("event_type:choice", f"NOT {_one_of('event_type', C.EVENT_TYPES)}"))
 
-    by_type = None
+    by_type = ""
     for kind, fields in C.PAYLOADS.items():
-        rules = [F.when(_unknown_keys("__payload_keys", ["event_type"] + [f.name for f in fields]), "payload:unknown_field")]
+        own = [("payload:unknown_field", _unknown_keys("__payload_keys", "payload.", ["event_type", *[f.name for f in fields]]))]
         for f in fields:
-            rules += _value_rules(f, F.col(f"payload.{f.name}"), "payload.")
-        condition, codes = F.col("event_type") == kind, _code_list(rules)
-        by_type = F.when(condition, codes) if by_type is None else by_type.when(condition, codes)
-    payload = (
-        F.when(F.col("__wrong_type"), F.lit("value:type"))
-        .when(~F.col("payload.event_type").eqNullSafe(F.col("event_type")), "payload:tag")
-        .otherwise(by_type)
-    )
-    return F.when(F.col("__invalid_json"), "json").otherwise(
-        _code_list([*envelope, F.nullif(payload, F.lit(""))])
-    )
+            own += _value_rules(f, "payload.")
+        by_type += f" WHEN event_type = '{kind}' THEN {_code_list(own)}"
+    payload = f"""CASE WHEN __wrong_type THEN 'value:type'
+        WHEN NOT payload.event_type <=> event_type THEN 'payload:tag'{by_type} END"""
+    envelope = _code_list(rules)
+    return f"IF(__invalid_json, 'json', concat_ws(',', nullif({envelope}, ''), nullif({payload}, '')))"
 
 
-def reason_code(contract_code_list: Column) -> Column:
+def reason_sql() -> str:
     """First matching reason of a record that fails the contract; null if it passes.
 
     A null never slips through a comparison: absent values count as violations.
     """
-    is_type = F.col("event_type").eqNullSafe
-    return (
-        F.when(F.col("__invalid_json"), "invalid_json")
-        .when(F.col("__wrong_type"), "type_mismatch")
-        .when(F.col("event_id").isNull(), "missing_event_id")
-        .when(~F.col("schema_version").eqNullSafe(C.SCHEMA_VERSION), "unsupported_schema_version")
-        .when(F.col("event_type").isNull() | ~F.col("event_type").isin(*C.EVENT_TYPES), "unknown_event_type")
-        .when(~F.col("payload.event_type").eqNullSafe(F.col("event_type")), "payload_type_mismatch")
-        .when(F.col("customer_id").isNull(), "missing_customer_id")
-        .when(F.col("country_code").isNull(), "missing_country")
-        .when(F.col("__text_occurred_at").isNull(), "missing_occurred_at")
-        .when(is_type("mobile_money_transaction") & (F.coalesce(F.col("payload.amount"), F.lit(0)) <= 0), "invalid_transaction_amount")
-        .when(is_type("loan_application") & (F.coalesce(F.col("payload.requested_amount"), F.lit(0)) <= 0), "invalid_requested_amount")
-        .when(contract_code_list != "", CONTRACT_RULE)
-    )
-
-
-def business_codes(as_of) -> Column:
-    """Rules beyond structure, errors and warnings, as one code list."""
-    reference = F.greatest(instant(as_of), F.col("ingested_at"))
-    tolerance = F.make_dt_interval(mins=F.lit(FUTURE_TOLERANCE_MINUTES))
-    late = F.make_dt_interval(hours=F.lit(LATE_AFTER_HOURS))
-    hits = {
-        "event_not_in_future": F.col("occurred_at") > reference + tolerance,
-        "ingestion_after_occurrence": F.col("ingested_at") < F.col("occurred_at"),
-        "freshness_24h": F.col("ingested_at") > F.col("occurred_at") + late,
-        "declined_amount_zero": (F.col("event_type") == "loan_decision")
-        & (F.col("payload.decision") != "approved")
-        & (F.col("payload.approved_amount") != 0),
-        "repayment_status_consistency": (F.col("event_type") == "repayment")
-        & (F.col("payload.days_past_due") == 0)
-        & F.col("payload.payment_status").isin("late", "partial"),
+    reasons = [
+        ("invalid_json", "__invalid_json"),
+        ("type_mismatch", "__wrong_type"),
+        ("missing_event_id", "event_id IS NULL"),
+        ("unsupported_schema_version", f"NOT schema_version <=> '{C.SCHEMA_VERSION}'"),
+        ("unknown_event_type", f"event_type IS NULL OR NOT {_one_of('event_type', C.EVENT_TYPES)}"),
+        ("payload_type_mismatch", "NOT payload.event_type <=> event_type"),
+        ("missing_customer_id", "customer_id IS NULL"),
+        ("missing_country", "country_code IS NULL"),
+        ("missing_occurred_at", "__text_occurred_at IS NULL"),
+        ("invalid_transaction_amount", "event_type = 'mobile_money_transaction' AND coalesce(payload.amount, 0) <= 0"),
+        ("invalid_requested_amount", "event_type = 'loan_application' AND coalesce(payload.requested_amount, 0) <= 0"),
+        (CONTRACT_RULE, "contract_codes <> ''"),
+    ]
+    return "CASE " + " ".join(f"WHEN {condition} THEN '{reason}'" for reason, condition in reasons) + " END"
+
+
+def business_codes_sql() -> str:
+    """Rules beyond structure, errors and warnings, as one code list. ``__as_of`` is the
+    clock."""
+    tolerance = f"INTERVAL '{FUTURE_TOLERANCE_MINUTES}' MINUTE"
+    conditions = {
+        "event_not_in_future": f"occurred_at > greatest(__as_of, ingested_at) + {tolerance}",
+        "ingestion_after_occurrence": "ingested_at < occurred_at",
+        "freshness_24h": f"ingested_at > occurred_at + INTERVAL '{LATE_AFTER_HOURS}' HOUR",
+        "declined_amount_zero": "event_type = 'loan_decision' AND payload.decision <> 'approved' AND payload.approved_amount <> 0",
+        "repayment_status_consistency": "event_type = 'repayment' AND payload.days_past_due = 0"
+        " AND payload.payment_status IN ('late', 'partial')",
     }
-    return _code_list([F.when(hit, rule) for rule, hit in hits.items()])
+    return _code_list([(rule, conditions[rule]) for rule in BUSINESS_RULES])
 
 
 def check_contract(raw: DataFrame) -> DataFrame:
@@ -224,25 +240,29 @@ def check_contract(raw: DataFrame) -> DataFrame:
 
     Works on batch and streaming frames alike; no shuffle.
     """
-    parsed = parse(raw).withColumn("contract_codes", contract_codes())
-    judged = parsed.withColumn("reason", reason_code(F.col("contract_codes")))
-    return judged.drop(*[c for c in judged.columns if c.startswith("__")])
+    parsed = parse(raw).selectExpr("*", f"{contract_codes_sql()} AS contract_codes")
+    public = [c for c in parsed.columns if not c.startswith("__")]
+    return parsed.selectExpr(*public, f"{reason_sql()} AS reason")
 
 
 def apply_business_rules(checked: DataFrame, as_of) -> DataFrame:
     """Row-local second half: adds ``business_codes``, the final ``reason``, ``outcome``
     and the ``late`` flag."""
-    errors = [r for r, (severity, _) in BUSINESS_RULES.items() if severity == "error"]
-    codes = F.split("business_codes", ",")
-    passed = F.col("reason").isNull()
-    broken = F.when(
-        F.array_contains(codes, "ingestion_after_occurrence"), "invalid_event_time"
-    ).when(F.arrays_overlap(codes, F.array(*[F.lit(e) for e in errors])), "business_rule")
+    errors = ", ".join(f"'{r}'" for r, (severity, _) in BUSINESS_RULES.items() if severity == "error")
+    others = [c for c in checked.columns if c != "reason"]
+    codes = "split(business_codes, ',')"
     return (
-        checked.withColumn("business_codes", F.when(passed, business_codes(as_of)).otherwise(""))
-        .withColumn("reason", F.coalesce("reason", broken))
-        .withColumn("outcome", F.when(F.col("reason").isNull(), ACCEPTED).otherwise(QUARANTINED))
-        .withColumn("late", F.array_contains(codes, "freshness_24h"))
+        checked.withColumn("__as_of", instant(as_of))
+        .selectExpr(*checked.columns, f"IF(reason IS NULL, {business_codes_sql()}, '') AS business_codes")
+        .selectExpr(
+            *others,
+            "business_codes",
+            f"""CASE WHEN reason IS NOT NULL THEN reason
+                     WHEN array_contains({codes}, 'ingestion_after_occurrence') THEN 'invalid_event_time'
+                     WHEN arrays_overlap({codes}, array({errors})) THEN 'business_rule' END AS reason""",
+            f"array_contains({codes}, 'freshness_24h') AS late",
+        )
+        .selectExpr("*", f"IF(reason IS NULL, '{ACCEPTED}', '{QUARANTINED}') AS outcome")
     )
 
 

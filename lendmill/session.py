@@ -8,6 +8,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not compile methods beyond 8000 bytes of bytecode. The contract rules
+    # generate larger ones; with this limit Spark splits them instead of running them
+    # interpreted, which is several times slower.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the run-time settings to an existing session."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "lendmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on.
 
@@ -18,10 +34,10 @@ def build_session(app: str = "lendmill", master: str | None = None, **conf: str)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        **RUNTIME_SETTINGS,
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():

@@ -14,7 +14,6 @@ from lendmill.operators.gate import BUSINESS_RULES, quarantined
 from lendmill.sources import lake as L
 
 BRONZE_PARTITIONS = ("ingestion_date", "kafka_partition")
-SILVER_PARTITIONS = ("processing_date", "country_code", "event_type")
 QUARANTINE_PARTITIONS = ("quality_reason",)
 ARRIVAL = ("kafka_partition", "kafka_offset")
 
@@ -150,7 +149,7 @@ def load_event_fact(
             target = spark.createDataFrame([], C.event_fact_schema())
     insert_if_absent(
         spark, rows, lake.silver, C.event_fact_schema(), ["event_id"], order_by, batch_rows,
-        SILVER_PARTITIONS, target, ["event_id"],
+        lake.silver_partitions, target, ["event_id"],
     )
 
 

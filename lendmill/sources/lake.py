@@ -80,9 +80,14 @@ METRIC_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one lake."""
+    """Folders of one lake.
+
+    Silver is partitioned for large daily volumes. A small lake with a long history may
+    leave ``processing_date`` out; date-scoped operations then do not apply to it.
+    """
 
     root: str
+    silver_partitions: tuple[str, ...] = ("processing_date", "country_code", "event_type")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])

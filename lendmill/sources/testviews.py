@@ -7,7 +7,7 @@ the library works on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2024-01-31 00:00:00"
@@ -187,91 +187,83 @@ def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- raw messages ----------------------------------------------------------------
 
-
-def _uuid(text: str) -> Column:
-    return F.regexp_replace(
-        F.md5(F.expr(text)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
-    )
-
-
-def _iso(instant: Column) -> Column:
-    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-
-
-def _message(rows: DataFrame, kind: str, source: str, payload: list[Column], offset: Column | None = None) -> DataFrame:
-    """Envelope around payload columns. Needs event_uuid, customer_uuid, occurred_at,
-    ingested_at, country_code."""
-    body = F.to_json(
-        F.struct(
-            F.col("event_uuid").alias("event_id"),
-            F.lit("1.0").alias("schema_version"),
-            F.lit(kind).alias("event_type"),
-            _iso(F.col("occurred_at")).alias("occurred_at"),
-            _iso(F.col("ingested_at")).alias("ingested_at"),
-            F.lit(source).alias("source_system"),
-            "country_code",
-            F.col("customer_uuid").alias("customer_id"),
-            F.col("customer_uuid").alias("correlation_id"),
-            F.concat(F.lit("trace-"), F.col("event_uuid")).alias("trace_id"),
-            F.struct(F.lit(kind).alias("event_type"), *payload).alias("payload"),
-        )
-    )
-    return rows.select(
-        F.col("customer_uuid").cast("binary").alias("key"),
-        body.alias("value"),
-        F.col("ingested_at").alias("timestamp"),
-        F.pmod(F.xxhash64("customer_uuid"), F.lit(6)).cast("int").alias("partition"),
-        (F.xxhash64("event_uuid") if offset is None else offset).alias("offset"),
-    )
-
-
-def _identified(rows: DataFrame, event_id: str, customer_id: str = "cast(customer_id AS string)") -> DataFrame:
-    return rows.withColumns(
-        {
-            "event_uuid": _uuid(event_id),
-            "customer_uuid": _uuid(customer_id),
-            "ingested_at": F.coalesce(F.col("ingested_at"), F.col("occurred_at"))
-            if "ingested_at" in rows.columns
-            else F.col("occurred_at"),
-        }
-    )
-
-
 LINE_EVENT = "concat('{tag}', cast(application_id AS string), cast(occurred_at AS string), event_id)"
+EVENT_TEXT = "concat('{0}', cast(event_id AS string))"
+APPLICATION = "concat('application', cast(application_id AS string))"
+TRANSACTION_TYPE = """CASE k % 5 WHEN 0 THEN 'cash_in' WHEN 1 THEN 'cash_out' WHEN 2 THEN 'p2p'
+  WHEN 3 THEN 'merchant_pay' ELSE 'bill_pay' END"""
+CHANNEL = "CASE k % 3 WHEN 0 THEN 'ussd' WHEN 1 THEN 'app' ELSE 'agent' END"
+
+
+def _uuid(text: str) -> str:
+    return f"regexp_replace(md5({text}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '$1-$2-$3-$4-$5')"
+
+
+def _iso(instant: str, zone: str = "\\'Z\\'") -> str:
+    return f"date_format({instant}, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS{zone}')"
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def _loan_messages_of(rows: DataFrame, kind: str, source: str, event: str, payload: str) -> DataFrame:
+    """One message per row of a domain table. ``payload`` lists columns; a pair written
+    as name=expression derives one."""
+    pairs = [item.strip() for item in payload.split(";")]
+    fields = {"event_type": f"'{kind}'"}
+    for pair in pairs:
+        name, _, expression = pair.partition("=")
+        fields[name] = expression or name
+    envelope = {
+        "event_id": "event_uuid",
+        "schema_version": "'1.0'",
+        "event_type": f"'{kind}'",
+        "occurred_at": _iso("occurred_at"),
+        "ingested_at": _iso("occurred_at"),
+        "source_system": f"'{source}'",
+        "country_code": "country_code",
+        "customer_id": "customer_uuid",
+        "correlation_id": "customer_uuid",
+        "trace_id": "concat('trace-', event_uuid)",
+        "payload": _struct(fields),
+    }
+    return rows.selectExpr(
+        "*", f"{_uuid(event)} AS event_uuid", f"{_uuid('cast(customer_id AS string)')} AS customer_uuid"
+    ).selectExpr(
+        "cast(customer_uuid AS binary) AS key",
+        f"cast(to_json({_struct(envelope)}) AS binary) AS value",
+        "occurred_at AS timestamp",
+        "cast(pmod(xxhash64(customer_uuid), 6) AS int) AS partition",
+        "xxhash64(event_uuid) AS offset",
+    )
 
 
 def loan_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One valid message per customer, application, decision and repayment."""
-    application_uuid = _uuid("concat('application', cast(application_id AS string))").alias("application_id")
-    registered = _identified(customers(spark, sf_dir), "event_id")
-    applied = _identified(loan_applications(spark, sf_dir), "event_id")
-    decided = _identified(loan_decisions(spark, sf_dir, True), LINE_EVENT.format(tag="D"))
-    repaid = _identified(repayments(spark, sf_dir, True), LINE_EVENT.format(tag="R"))
+    application = f"application_id={_uuid(APPLICATION)}"
     parts = [
-        _message(
-            registered, "customer_registered", "identity",
-            [F.col(c) for c in ("phone_hash", "age_band", "income_band", "occupation", "consent_version")],
+        _loan_messages_of(
+            customers(spark, sf_dir), "customer_registered", "identity", "event_id",
+            "phone_hash; age_band; income_band; occupation; consent_version",
         ),
-        _message(
-            applied, "loan_application", "credit_engine",
-            [application_uuid]
-            + [F.col(c) for c in ("requested_amount", "currency", "term_days", "product_code", "stated_purpose")],
+        _loan_messages_of(
+            loan_applications(spark, sf_dir), "loan_application", "credit_engine", "event_id",
+            f"{application}; requested_amount; currency; term_days; product_code; stated_purpose",
         ),
-        _message(
-            decided, "loan_decision", "credit_engine",
-            [application_uuid]
-            + [F.col(c) for c in ("decision", "score", "approved_amount", "interest_rate", "reason_code", "model_version")],
+        _loan_messages_of(
+            loan_decisions(spark, sf_dir, True), "loan_decision", "credit_engine", LINE_EVENT.format(tag="D"),
+            f"{application}; decision; score; approved_amount; interest_rate; reason_code; model_version",
         ),
-        _message(
-            repaid, "repayment", "loan_ledger",
-            [_uuid("loan_id").alias("loan_id"), application_uuid]
-            + [F.col(c) for c in ("amount", "currency", "days_past_due", "payment_status")],
+        _loan_messages_of(
+            repayments(spark, sf_dir, True), "repayment", "loan_ledger", LINE_EVENT.format(tag="R"),
+            f"loan_id={_uuid('loan_id')}; {application}; amount; currency; days_past_due; payment_status",
         ),
     ]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.withColumn("value", F.col("value").cast("binary"))
+    return out
 
 
 # Which violation an 'error' event carries, from its k (0..99).
@@ -289,122 +281,97 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     rows = (
         _user_events(spark, sf_dir)
-        .withColumn("violation", F.when(F.col("event_type") == "error", F.expr(VIOLATION)))
-        .withColumn(
-            "copies",
-            F.expr(
-                """CASE WHEN event_type IN ('click', 'signup') AND k < 10 THEN 2
-                        WHEN event_type = 'purchase' AND k < 5 THEN 3
-                        WHEN violation = 20 THEN 2 ELSE 1 END"""
-            ),
+        .selectExpr("*", f"CASE WHEN event_type = 'error' THEN {VIOLATION} ELSE -1 END AS violation")
+        .selectExpr(
+            "* EXCEPT (occurred_at)",
+            "IF(violation = 19, timestamp'2030-01-01 00:00:00', occurred_at) AS occurred_at",
+            """CASE WHEN event_type = 'view' AND k >= 95 THEN occurred_at + INTERVAL '2' DAY
+                    WHEN violation = 10 THEN occurred_at - INTERVAL '1' MINUTE
+                    ELSE occurred_at + make_dt_interval(0, 0, 0, k) END AS ingested_at""",
+            """CASE WHEN event_type IN ('click', 'view') THEN 'gsm_usage'
+                    WHEN event_type = 'purchase' THEN 'mobile_money_transaction'
+                    WHEN event_type = 'signup' THEN 'device_signal'
+                    WHEN violation = 5 THEN 'refund'
+                    WHEN violation = 11 THEN 'mobile_money_transaction'
+                    WHEN violation = 12 THEN 'loan_application'
+                    WHEN violation = 20 THEN 'loan_decision'
+                    WHEN violation = 21 THEN 'repayment'
+                    ELSE 'gsm_usage' END AS kind""",
+            f"{_uuid(EVENT_TEXT.format('event'))} AS event_uuid",
+            f"{_uuid('cast(user_id AS string)')} AS customer_uuid",
+            f"{_uuid(EVENT_TEXT.format('application'))} AS application_uuid",
+            f"{CURRENCY_BY_COUNTRY} AS currency",
+            """explode(sequence(0, CASE WHEN event_type IN ('click', 'signup') AND k < 10 THEN 1
+                    WHEN event_type = 'purchase' AND k < 5 THEN 2 WHEN violation = 20 THEN 1 ELSE 0 END)) AS copy""",
         )
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-        .withColumn(
-            "ingested_at",
-            F.expr(
-                """CASE WHEN event_type = 'view' AND k >= 95 THEN occurred_at + INTERVAL '2' DAY
-                        WHEN violation = 10 THEN occurred_at - INTERVAL '1' MINUTE
-                        ELSE occurred_at + make_dt_interval(0, 0, 0, k) END"""
-            ),
-        )
-        .withColumn("occurred_at", F.expr("CASE WHEN violation = 19 THEN timestamp'2030-01-01 00:00:00' ELSE occurred_at END"))
-        .withColumn("ingested_at", F.expr("CASE WHEN violation = 19 THEN occurred_at ELSE ingested_at END"))
-        .withColumn("event_uuid", _uuid("concat('event', cast(event_id AS string))"))
-        .withColumn("customer_uuid", _uuid("cast(user_id AS string)"))
-        .withColumn("currency", F.expr(CURRENCY_BY_COUNTRY))
-    )
-    kind = F.expr(
-        """CASE WHEN event_type IN ('click', 'view') THEN 'gsm_usage'
-                WHEN event_type = 'purchase' THEN 'mobile_money_transaction'
-                WHEN event_type = 'signup' THEN 'device_signal'
-                WHEN violation = 5 THEN 'refund'
-                WHEN violation = 11 THEN 'mobile_money_transaction'
-                WHEN violation = 12 THEN 'loan_application'
-                WHEN violation = 20 THEN 'loan_decision'
-                WHEN violation = 21 THEN 'repayment'
-                ELSE 'gsm_usage' END"""
-    )
-    rows = rows.withColumn("kind", kind)
-
-    def only(kinds: str, expression: str, name: str) -> Column:
-        listed = ", ".join(f"'{k}'" for k in kinds.split())
-        return F.expr(f"CASE WHEN kind IN ({listed}) THEN {expression} END").alias(name)
-
-    application = "regexp_replace(md5(concat('application', cast(event_id AS string))), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')"
-    payload = F.struct(
-        F.expr("CASE WHEN violation = 6 THEN 'device_signal' ELSE kind END").alias("event_type"),
-        only("gsm_usage", "k * 36", "call_duration_seconds"),
-        # Text for violation 13; JSON numbers otherwise come from the field below.
-        only("gsm_usage", "CASE WHEN violation = 13 THEN 'many' END", "sms_count_text"),
-        only("gsm_usage", "CASE WHEN violation = 13 THEN NULL WHEN violation = 17 THEN 1001 ELSE k END", "sms_count"),
-        only("gsm_usage", "value", "data_mb"),
-        only("gsm_usage", "k", "unique_contacts"),
-        only("gsm_usage", "value", "airtime_topup_amount"),
-        only("gsm_usage", "k * 10 + 1", "network_tenure_days"),
-        F.expr("CASE WHEN violation = 14 THEN 'x' END").alias("surprise"),
-        only("mobile_money_transaction", "CASE k % 5 WHEN 0 THEN 'cash_in' WHEN 1 THEN 'cash_out' WHEN 2 THEN 'p2p' WHEN 3 THEN 'merchant_pay' ELSE 'bill_pay' END", "transaction_type"),
-        only("mobile_money_transaction repayment", "CASE WHEN violation = 11 THEN 0.0D ELSE value END", "amount"),
-        only("mobile_money_transaction loan_application repayment", "currency", "currency"),
-        only("mobile_money_transaction", "md5(cast(k AS string))", "counterparty_hash"),
-        only("mobile_money_transaction", "CASE k % 3 WHEN 0 THEN 'ussd' WHEN 1 THEN 'app' ELSE 'agent' END", "channel"),
-        only("device_signal", "md5(cast(user_id AS string))", "device_hash"),
-        only("device_signal", "k % 4 + 1", "sim_slot_count"),
-        only("device_signal", "k", "device_age_months"),
-        only("device_signal", "k % 2 = 0", "is_rooted"),
-        only("device_signal", "k * 7", "location_cell_changes_24h"),
-        only("loan_application loan_decision repayment", application, "application_id"),
-        only("loan_application", "-5.0D", "requested_amount"),
-        only("loan_application", "30", "term_days"),
-        only("loan_application", "'nano'", "product_code"),
-        only("loan_application", "'other'", "stated_purpose"),
-        only("loan_decision", "'declined'", "decision"),
-        only("loan_decision", "300", "score"),
-        only("loan_decision", "100.0D", "approved_amount"),
-        only("loan_decision", "0.1D", "interest_rate"),
-        only("loan_decision", "'policy_limit'", "reason_code"),
-        only("repayment", application, "loan_id"),
-        only("repayment", "0", "days_past_due"),
-        only("repayment", "'late'", "payment_status"),
     )
-    body = F.to_json(
-        F.struct(
-            F.expr("CASE WHEN violation = 3 THEN NULL ELSE event_uuid END").alias("event_id"),
-            F.expr("CASE WHEN violation = 4 THEN '2.0' ELSE '1.0' END").alias("schema_version"),
-            F.col("kind").alias("event_type"),
-            F.when(F.col("violation") == 9, None)
-            .when(F.col("violation") == 16, F.date_format("occurred_at", "yyyy-MM-dd'T'HH:mm:ss"))
-            .otherwise(_iso(F.col("occurred_at")))
-            .alias("occurred_at"),
-            _iso(F.col("ingested_at")).alias("ingested_at"),
-            F.expr(
-                """CASE kind WHEN 'mobile_money_transaction' THEN 'mobile_money' WHEN 'repayment' THEN 'loan_ledger'
-                   WHEN 'loan_application' THEN 'credit_engine' WHEN 'loan_decision' THEN 'credit_engine' ELSE 'gsm' END"""
-            ).alias("source_system"),
-            F.expr("CASE WHEN violation = 8 THEN NULL ELSE country_code END").alias("country_code"),
-            F.expr("CASE WHEN violation = 7 THEN NULL ELSE customer_uuid END").alias("customer_id"),
-            F.col("customer_uuid").alias("correlation_id"),
-            F.expr("concat(CASE WHEN event_type = 'signup' AND copy > 0 THEN 'again-' ELSE 'trace-' END, cast(event_id AS string))").alias("trace_id"),
-            F.expr("CASE WHEN violation = 15 THEN 1 END").alias("surprise"),
-            payload.alias("payload"),
-        )
-    )
-    body = F.replace(body, F.lit("sms_count_text"), F.lit("sms_count"))
-    value = (
-        F.when(F.col("violation") == 0, F.concat(F.lit("not json "), F.col("event_id").cast("string")))
-        .when(F.col("violation") == 1, "")
-        .when(F.col("violation") == 2, "[1, 2]")
-        .when(F.col("violation") == 18, F.concat(body, F.lit(" tail")))
-        .otherwise(body)
-    )
-    return rows.select(
-        F.col("customer_uuid").cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
-        F.col("ingested_at").alias("timestamp"),
-        F.expr("cast(user_id % 6 AS int)").alias("partition"),
-        (F.col("event_id") * 4 + F.col("copy")).alias("offset"),
+
+    def only(kinds: str, expression: str) -> str:
+        listed = ", ".join(f"'{kind}'" for kind in kinds.split())
+        return f"IF(kind IN ({listed}), {expression}, NULL)"
+
+    payload = {
+        "event_type": "IF(violation = 6, 'device_signal', kind)",
+        "call_duration_seconds": only("gsm_usage", "k * 36"),
+        # Renamed below: violation 13 has text where a number belongs.
+        "sms_count_text": "IF(violation = 13, 'many', NULL)",
+        "sms_count": only("gsm_usage", "CASE violation WHEN 13 THEN NULL WHEN 17 THEN 1001 ELSE k END"),
+        "data_mb": only("gsm_usage", "value"),
+        "unique_contacts": only("gsm_usage", "k"),
+        "airtime_topup_amount": only("gsm_usage", "value"),
+        "network_tenure_days": only("gsm_usage", "k * 10 + 1"),
+        "surprise": "IF(violation = 14, 'x', NULL)",
+        "transaction_type": only("mobile_money_transaction", TRANSACTION_TYPE),
+        "amount": only("mobile_money_transaction repayment", "IF(violation = 11, 0.0D, value)"),
+        "currency": only("mobile_money_transaction loan_application repayment", "currency"),
+        "counterparty_hash": only("mobile_money_transaction", "md5(cast(k AS string))"),
+        "channel": only("mobile_money_transaction", CHANNEL),
+        "device_hash": only("device_signal", "md5(cast(user_id AS string))"),
+        "sim_slot_count": only("device_signal", "k % 4 + 1"),
+        "device_age_months": only("device_signal", "k"),
+        "is_rooted": only("device_signal", "k % 2 = 0"),
+        "location_cell_changes_24h": only("device_signal", "k * 7"),
+        "application_id": only("loan_application loan_decision repayment", "application_uuid"),
+        "requested_amount": only("loan_application", "-5.0D"),
+        "term_days": only("loan_application", "30"),
+        "product_code": only("loan_application", "'nano'"),
+        "stated_purpose": only("loan_application", "'other'"),
+        "decision": only("loan_decision", "'declined'"),
+        "score": only("loan_decision", "300"),
+        "approved_amount": only("loan_decision", "100.0D"),
+        "interest_rate": only("loan_decision", "0.1D"),
+        "reason_code": only("loan_decision", "'policy_limit'"),
+        "loan_id": only("repayment", "application_uuid"),
+        "days_past_due": only("repayment", "0"),
+        "payment_status": only("repayment", "'late'"),
+    }
+    envelope = {
+        "event_id": "IF(violation = 3, NULL, event_uuid)",
+        "schema_version": "IF(violation = 4, '2.0', '1.0')",
+        "event_type": "kind",
+        "occurred_at": f"CASE violation WHEN 9 THEN NULL WHEN 16 THEN {_iso('occurred_at', '')} ELSE {_iso('occurred_at')} END",
+        "ingested_at": _iso("ingested_at"),
+        "source_system": """CASE kind WHEN 'mobile_money_transaction' THEN 'mobile_money' WHEN 'repayment' THEN 'loan_ledger'
+            WHEN 'loan_application' THEN 'credit_engine' WHEN 'loan_decision' THEN 'credit_engine' ELSE 'gsm' END""",
+        "country_code": "IF(violation = 8, NULL, country_code)",
+        "customer_id": "IF(violation = 7, NULL, customer_uuid)",
+        "correlation_id": "customer_uuid",
+        "trace_id": "concat(IF(event_type = 'signup' AND copy > 0, 'again-', 'trace-'), cast(event_id AS string))",
+        "surprise": "IF(violation = 15, 1, NULL)",
+        "payload": _struct(payload),
+    }
+    return rows.selectExpr(
+        "*", f"replace(to_json({_struct(envelope)}), 'sms_count_text', 'sms_count') AS body"
+    ).selectExpr(
+        "cast(customer_uuid AS binary) AS key",
+        """cast(CASE violation WHEN 0 THEN concat('not json ', cast(event_id AS string)) WHEN 1 THEN ''
+                WHEN 2 THEN '[1, 2]' WHEN 18 THEN concat(body, ' tail') ELSE body END AS binary) AS value""",
+        "ingested_at AS timestamp",
+        "cast(user_id % 6 AS int) AS partition",
+        "event_id * 4 + copy AS offset",
     )
 
 
 def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loan messages and user events together."""
-    return loan_messages(spark, sf_dir).unionByName(event_messages(spark, sf_dir))
+    """Loan messages and user events together, spread like the partitions of a topic."""
+    return loan_messages(spark, sf_dir).unionByName(event_messages(spark, sf_dir)).repartition("offset")
