@@ -28,16 +28,22 @@ def _lake(spark, label: str, **options) -> L.Lake:
     return L.Lake(work_dir(spark, label), **options)
 
 
+# Few rows a day: these lakes keep whole days together.
+BY_DAY = ("processing_date",)
+
+
 def _bronze(spark, sf, label: str) -> L.Lake:
-    lake = _lake(spark, label)
+    lake = _lake(spark, label, silver_partitions=BY_DAY)
     S.append(S.bronze_rows(decode(V.event_messages(spark, sf))), lake.bronze, S.BRONZE_PARTITIONS)
     return lake
 
 
 def _bronze_counts(rows):
     return rows.groupBy("ingestion_date", "kafka_partition").agg(
-        F.count(F.lit(1)).alias("messages"), F.count_distinct("kafka_offset").alias("offsets"), F.sum(F.length("raw_value") * 0 + 1).alias("texts")
-    ).select("ingestion_date", "kafka_partition", "messages", "offsets", F.coalesce("texts", F.lit(0)).alias("texts"))
+        F.count(F.lit(1)).alias("messages"),
+        F.count_distinct("kafka_offset").alias("offsets"),
+        F.count("raw_value").alias("texts"),
+    )
 
 
 _INGESTED = """CASE WHEN event_type = 'view' AND k >= 95 THEN ts + INTERVAL 2 DAY WHEN violation = 10 THEN ts - INTERVAL 1 MINUTE
@@ -168,7 +174,7 @@ def _backfill(spark, sf):
 
 def _replay(spark, sf):
     """Every message was quarantined by an outdated consumer; the gate now judges again."""
-    lake = _lake(spark, "replay")
+    lake = _lake(spark, "replay", silver_partitions=BY_DAY)
     stuck = decode(V.event_messages(spark, sf)).withColumn("quality_reason", F.lit("unsupported_schema_version")).withColumn("event_id", F.lit(None).cast("string"))
     S.append(stuck.select(*L.QUARANTINE_SCHEMA.names), lake.quarantine, S.QUARANTINE_PARTITIONS)
     B.replay_quarantine(spark, lake, ["unsupported_schema_version"], V.AS_OF, RUN)
