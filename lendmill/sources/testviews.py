@@ -277,7 +277,8 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     device_signal; error -> one violation each, chosen by ``VIOLATION``. Views with
     k >= 95 arrive two days late. Some messages come more than once: clicks and signups
     with k < 10 twice (the second signup has another trace id), purchases with k < 5
-    three times, and business-rule failures of kind 20 twice.
+    three times, and business-rule failures of kind 20 twice. The messages are spread
+    over tasks like a topic, whatever the number of files of the given table.
     """
     rows = (
         _user_events(spark, sf_dir)
@@ -369,9 +370,10 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ingested_at AS timestamp",
         "cast(user_id % 6 AS int) AS partition",
         "event_id * 4 + copy AS offset",
-    )
+    ).repartition("offset")
 
 
 def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loan messages and user events together, spread like the partitions of a topic."""
-    return loan_messages(spark, sf_dir).unionByName(event_messages(spark, sf_dir)).repartition("offset")
+    loans = loan_messages(spark, sf_dir).repartition("offset")
+    return loans.unionByName(event_messages(spark, sf_dir))
