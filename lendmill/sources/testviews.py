@@ -271,14 +271,19 @@ VIOLATION = "CASE WHEN k < 80 THEN k % 20 WHEN k < 90 THEN 20 ELSE 21 END"
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User events as messages, spread over tasks like a topic, whatever the number of
+    files of the given table."""
+    return _event_messages(spark, sf_dir).repartition("offset")
+
+
+def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User events as messages.
 
     click, view -> gsm_usage; purchase -> mobile_money_transaction; signup ->
     device_signal; error -> one violation each, chosen by ``VIOLATION``. Views with
     k >= 95 arrive two days late. Some messages come more than once: clicks and signups
     with k < 10 twice (the second signup has another trace id), purchases with k < 5
-    three times, and business-rule failures of kind 20 twice. The messages are spread
-    over tasks like a topic, whatever the number of files of the given table.
+    three times, and business-rule failures of kind 20 twice.
     """
     rows = (
         _user_events(spark, sf_dir)
@@ -370,10 +375,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ingested_at AS timestamp",
         "cast(user_id % 6 AS int) AS partition",
         "event_id * 4 + copy AS offset",
-    ).repartition("offset")
+    )
 
 
 def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loan messages and user events together, spread like the partitions of a topic."""
-    loans = loan_messages(spark, sf_dir).repartition("offset")
-    return loans.unionByName(event_messages(spark, sf_dir))
+    return loan_messages(spark, sf_dir).unionByName(_event_messages(spark, sf_dir)).repartition("offset")
