@@ -48,11 +48,13 @@ def build_session(app: str = "lendmill", master: str | None = None, **conf: str)
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared folder of the cluster.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is unset,
-    as in local tests, a temporary folder of this machine is used.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is unset and
+    everything runs in this process, as in tests, a temporary folder of this machine is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lendmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
