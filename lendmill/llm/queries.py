@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import curve, wavelet
+from lendmill.llm import curve, order_minhash, pii, quality, tensor_minhash, wavelet
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +21,28 @@ def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.document_table(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op6_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_table(table(spark, sf_dir, "documents"))
+
+
+def op7_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensor_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op5_wavelet_shards": op5_wavelet_shards,
+    "op6_pii_spans": op6_pii_spans,
+    "op7_tensored_minhash": op7_tensored_minhash,
+    "op8_order_minhash": op8_order_minhash,
+    "op10_quality_rules": op10_quality_rules,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_quality_rules": quality.sql()}
