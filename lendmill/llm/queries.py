@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import curve, order_minhash, pii, quality, tensor_minhash, wavelet
+from lendmill.llm import curve, order_minhash, pii, quality, tensor_minhash, wavelet, winnow
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.document_table(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_winnowed_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.kept_table(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Run] = {
     "op6_pii_spans": op6_pii_spans,
     "op7_tensored_minhash": op7_tensored_minhash,
     "op8_order_minhash": op8_order_minhash,
+    "op9_winnowed_repeats": op9_winnowed_repeats,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {"op10_quality_rules": quality.sql()}

@@ -10,13 +10,14 @@ keys are formed.
 Documents with equal shingle sets are one node. Nodes that share a key are candidates, and
 candidates are confirmed on their full sets:
 
-1. each node against the smallest node of its tables; confirmed links merge nodes;
+1. in a few turns each node against one pivot of each of its tables; confirmed links merge
+   nodes;
 2. in every table whose nodes are not yet one component, all nodes outside its largest
    component against all nodes of other components. Within the largest component every node
    is linked already, so no link between different texts that share a table is left out.
 
 Pairs of step 2 are held to the ratio of set sizes (exact) and to the share of equal minhash
-values (48 values; a pair of similarity 0.75 falls below the limit with probability 1e-5).
+values (48 values; a pair of similarity 0.75 falls below the limit with probability 3e-5).
 
 Defined cases: null and empty texts, and texts without words, are linked with nothing; fewer
 words than a shingle are one shingle; null ids take part, and a component's id is its
@@ -43,7 +44,9 @@ SHINGLE = 5
 PERCENT = 75
 HALVES, VALUES = 12, 2
 #: Least share of equal minhash values of a candidate pair in step 2.
-LEAST_EQUAL = 0.45
+LEAST_EQUAL = 0.5
+#: Turns of step 1; what they leave open is left to step 2, which is complete by itself.
+STAR_TURNS = 3
 
 
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +97,7 @@ def table_rows(nodes: DataFrame) -> DataFrame:
         )
     )
     keys = written(lists.select("node", "b", F.explode("a").alias("one")).select("node", "one", F.explode("b").alias("two")).select(F.xxhash64("one", "two").alias("key"), "node"), "keys")
-    tables = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1"), "tables")
+    tables = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "tables")
     return written(keys.join(tables, "key"), "table-rows")
 
 
@@ -157,16 +160,43 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("x").filter(kept), batch.column("y").filter(kept)], names=["x", "y"])
 
 
-def open_pairs(rows: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs of tables whose nodes are in several components: nodes outside the
-    largest component of the table with all nodes of other components."""
-    labelled = written(
-        rows.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "labelled"
-    )
+def unsettled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(key, node, label, top) of tables whose nodes are in several components; ``top`` is the
+    component that has most of them."""
+    if labels is None:
+        labelled = rows.select("key", "node", F.col("node").alias("label"))
+    else:
+        labelled = written(rows.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    unsettled = written(sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("top.label").alias("top")), "unsettled")
+    open_tables = written(sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("top.label").alias("top")), "open-tables")
+    return written(labelled.join(open_tables, "key"), "unsettled")
+
+
+def star_pairs(rows: DataFrame, weights: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
+    """Candidate pairs of each node with one pivot of each of its tables, in another component:
+    as many at most as table rows. The first turn takes the node of most company as a table's
+    pivot (the original of a group of edited copies shares tables with more of them than any
+    copy does); later turns draw one from the largest component and one from the others."""
+    ranked = rows if turn else rows.join(weights, "node")
+    rank = F.xxhash64("node", "key", F.lit(turn)) if turn else F.col("weight")
+    one = F.struct(rank.alias("rank"), "node", "label")
+    inside = F.max(F.when(F.col("label") == F.col("top"), one) if turn else one)
+    other = F.max(F.when(F.col("label") != F.col("top"), one) if turn else one)
+    pivots = written(ranked.groupBy("key").agg(inside.alias("inside"), other.alias("other")), "pivots")
+    pivot = F.when(F.col("label") != F.col("inside.label"), F.col("inside")).when(F.col("label") != F.col("other.label"), F.col("other"))
+    met = rows.join(pivots, "key").select("node", pivot.alias("pivot")).filter("pivot is not null")
+    pairs = written(met.select(F.least("node", "pivot.node").alias("x"), F.greatest("node", "pivot.node").alias("y")).distinct(), "stars")
     facts = nodes.select("node", "n_shingles", "sketch")
-    members = written(labelled.join(unsettled, "key").join(facts, "node"), "members")
+    left = facts.select(F.col("node").alias("x"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("sx"))
+    right = facts.select(F.col("node").alias("y"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("sy"))
+    sized = pairs.join(left, "x").join(right, "y").filter(100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
+    return in_tasks(sized.select("x", "y", "sx", "sy"), _alike, "x long, y long")
+
+
+def all_pairs_left(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """What stars leave open: in each unsettled table the nodes outside its largest component
+    with all nodes of other components."""
+    members = written(rows.join(nodes.select("node", "n_shingles", "sketch"), "node"), "members")
 
     def side(x: str) -> DataFrame:
         return members.select("key", F.col("top"), F.col("node").alias(x), F.col("label").alias(f"l{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
@@ -194,12 +224,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lost = F.lit(-(1 << 62))
     found = text_rows(docs).select(F.coalesce("doc_id", lost).alias("id"), "text").join(wanted.select("node", F.coalesce("doc_id", lost).alias("id")), "id")
     texts = written(in_tasks(found.select("node", "text"), _pack, "node long, packed binary"), "texts")
-    nearest = tables.filter("least <> node").groupBy("node").agg(F.min("least").alias("least")).select(F.col("least").alias("x"), F.col("node").alias("y"))
-    links = confirmed(nearest, texts)
+    weights = written(tables.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    links, labels, turn = None, None, 0
+    while True:
+        rows_left = unsettled(tables, labels)
+        fresh = confirmed(star_pairs(rows_left, weights, nodes, turn), texts)
+        some = fresh.limit(1).count() > 0
+        if some:
+            links = fresh if links is None else links.union(fresh)
+            labels = components(links)
+        turn += 1
+        if not some or turn >= STAR_TURNS:
+            break
+    more = confirmed(all_pairs_left(unsettled(tables, labels), nodes), texts)
+    links = more if links is None else links.union(more)
     labels = components(links)
-    more = confirmed(open_pairs(tables, nodes, labels), texts)
-    if more.limit(1).count():
-        labels = components(links.union(more))
     grouped = written(nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label")), "grouped")
     names = written(grouped.groupBy("label").agg(F.min("doc_id").alias("component_id")), "names")
     of_node = written(grouped.join(names, "label").select("node", "component_id"), "classes")
