@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lendmill.session import work_dir
 
@@ -26,7 +27,7 @@ def text_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def in_tasks(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers find this package, wherever the driver was started."""
     context = df.sparkSession.sparkContext
     paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)

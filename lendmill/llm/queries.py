@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import curve, order_minhash, pii, quality, tensor_minhash, wavelet, winnow
+from lendmill.llm import curve, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve.piece_table(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.document_table(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,6 +47,7 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op1_hilbert_packing": op1_hilbert_packing,
+    "op4_toxic_segments": op4_toxic_segments,
     "op5_wavelet_shards": op5_wavelet_shards,
     "op6_pii_spans": op6_pii_spans,
     "op7_tensored_minhash": op7_tensored_minhash,
