@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chunks, curve, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
+from lendmill.llm import chunks, crf, curve, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_chunk_reuse": op2_chunk_reuse,
+    "op3_crf_main_text": op3_crf_main_text,
     "op4_toxic_segments": op4_toxic_segments,
     "op5_wavelet_shards": op5_wavelet_shards,
     "op6_pii_spans": op6_pii_spans,

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,5 +163,26 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return in_tasks(joined, _cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
+def without_repeats_in_place(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents with all their columns; a text that has repeats is replaced by its kept
+    words, any other stays as it is (null as well)."""
+    found = repeats(docs, window=window)
+    named = docs.withColumn("__row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    joined = named.join(found.withColumnRenamed("row", "__row").withColumnRenamed("spans", "__spans"), "__row", "left").drop("__row")
+    cut = _cut(window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column("text"), batch.column("__spans")
+            changed = spans.is_valid()
+            rows = pa.RecordBatch.from_arrays([texts.filter(changed), spans.filter(changed)], names=["text", "spans"])
+            new = [b.column("kept_text") for b in cut(iter([rows]))][0]
+            whole = pa.compute.replace_with_mask(texts, changed, new)
+            names = [n for n in batch.schema.names if n != "__spans"]
+            yield pa.RecordBatch.from_arrays([whole if n == "text" else batch.column(n) for n in names], names=names)
+
+    return in_tasks(joined, run, docs.schema)
+
+
 def kept_table(docs: DataFrame) -> DataFrame:
     return without_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
