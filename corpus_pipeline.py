@@ -1,22 +1,57 @@
 """A pipeline over the documents table: each stage is one operator, written and read again.
 
-The stages keep the columns of documents; the last one returns packed pieces.
+1. toxicity: documents that the segment model scores as toxic go;
+2. near_duplicates: of each group of near-duplicates the smallest id stays;
+3. repeats: passages that occur elsewhere are cut out of the texts;
+4. personal_data: spans are replaced by their kind;
+5. packing: what is left is cut into sequences along the curve.
+
+All stages but the last keep the columns of documents; ``n_chars`` follows the text. Rows
+with a null id stay unless a stage rejects them; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lendmill.llm import curve
+from lendmill.llm import curve, pii, segments, tensor_minhash, winnow
 from lendmill.llm.common import table, written
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return segments.clean_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = tensor_minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _counted(winnow.without_repeats_in_place(docs))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _counted(pii.mask(docs))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return curve.piece_table(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
 #: Tokenizer ids and a fitted classifier are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
