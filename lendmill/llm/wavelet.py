@@ -8,7 +8,7 @@ occurrence lookups on its own. Shards are rows of a Parquet folder, one file per
 documents: written atomically by Spark and readable from any store.
 
 Defined cases: null text is empty (the end id alone); a null id sorts first; equal ids keep
-all their rows, ordered by text; a document longer than a shard has a shard of its own; no
+all their rows, in the order of a hash of the text; a document longer than a shard has a shard of its own; no
 rows give no shards; columns other than id and text are ignored.
 """
 
@@ -191,7 +191,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, s
         if held:
             yield close()
 
-    ordered = text_rows(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Bounds are sampled from keys, so the text itself is none of them.
+    ordered = text_rows(docs).repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     in_tasks(ordered, build, SHARDS).write.parquet(path)
     return docs.sparkSession.read.schema(SHARDS).parquet(path)
 
