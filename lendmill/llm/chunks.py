@@ -92,6 +92,11 @@ def _core(text: bytes) -> tuple[int, int]:
     return (min(places), max(text.rfind(b" "), text.rfind(b"\n"))) if places else (-1, -1)
 
 
+def _kind(path: str) -> str:
+    """Ids are moved in 16 bits where the vocabulary allows it."""
+    return "<u2" if tokens.tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
 def _owned(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,7 +112,7 @@ def _owned(path: str):
                         keys.append((chunk["h1"], chunk["h2"]))
                         cores.append(text[a:b] if a >= 0 else b"")
             for start, end, ids, at in tokens.encoded(path, pa.array(cores, pa.binary())):
-                values = [ids[at[i] : at[i + 1]].astype("<u4").tobytes() for i in range(end - start)]
+                values = [ids[at[i] : at[i + 1]].astype(_kind(path)).tobytes() for i in range(end - start)]
                 part = keys[start:end]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([h for h, _ in part], pa.int64()), pa.array([h for _, h in part], pa.int64()), pa.array(values, pa.binary())], names=["h1", "h2", "ids"]
@@ -142,7 +147,7 @@ def _assembled(path: str, batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
                     continue
                 later(join + text[:a], plan)
                 if k in known:
-                    plan.append(bytes(known[k]))
+                    plan.append(np.frombuffer(known[k], _kind(path)).astype("<u4").tobytes())
                 else:
                     later(text[a:b], plan)
                 join = text[b:]
