@@ -50,7 +50,7 @@ KINDS = (
     Kind("phone", "\\+[0-9][\\x20().0-9-]+[0-9]", 0.7, "tel|phone|call|fax|mobile|telefon", True),
     Kind("iban", "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.6, "iban|account|bank|konto|compte|cuenta"),
     Kind("ssn", "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.4, "ssn|social|security"),
-    Kind("local_phone", "(?<![0-9+.-])\\(?[0-9]{3,4}\\)?[\\x20-][0-9]{3}[\\x20-]?[0-9]{4}(?![0-9.-])", 0.3, "tel|phone|call|fax|mobile|telefon"),
+    Kind("local_phone", "(?<![0-9+.(-])(?<!\\+[0-9]{1,3}[\\x20-])\\(?[0-9]{3,4}\\)?[\\x20-][0-9]{3}[\\x20-]?[0-9]{4}(?![0-9.-])", 0.3, "tel|phone|call|fax|mobile|telefon"),
 )
 
 
