@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendmill.llm.common import text_rows
+from lendmill.llm.common import text_rows, written
 
 K, BINS = 3, 32
 #: Visible characters of a token at most: longer words (and scripts without spaces) are cut.
@@ -73,7 +73,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k: int = K, bins: int
             F.when(
                 F.col("__s").isNull(), F.transform("__k", lambda h, i: element(h.bitwiseAND(high), F.lit(0), i))
             ).otherwise(
-                F.transform("__s", lambda x, i: element(F.shiftright(x, POSITION_BITS), F.col("__o")[i], x.bitwiseAND(position)))
+                F.zip_with("__s", "__o", lambda x, o: element(F.shiftright(x, POSITION_BITS), o, x.bitwiseAND(position)))
             )
         ),
     ).drop("__k", "__s", "__r", "__o")
@@ -100,20 +100,27 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k: int = K, bins: int
     filled = firsts.withColumn(
         "__m", F.map_from_arrays(F.transform("__f", lambda i: bin_of(F.col("__e")[i])), F.transform("__f", tuple_hash))
     )
+    # The map is named twice, so that it stays a column and is not built anew for each bin.
     return filled.select(
-        *kept, F.array_join(F.transform(F.array(*[F.lit(b) for b in range(bins)]), lambda b: F.coalesce(F.col("__m")[b], F.lit("--------"))), "").alias(name)
+        *kept, F.when(F.size("__m") == 0, F.lit("--------" * bins)).otherwise(F.array_join(F.transform(F.array(*[F.lit(b) for b in range(bins)]), lambda b: F.coalesce(F.col("__m")[b], F.lit("--------"))), "")).alias(name)
     )
 
 
-def likeness(a: str, b: str, bins: int = BINS) -> Column:
+def likeness(a: str, b: str) -> Column:
     """The share of text in common, from the share p of equal bins among those filled on
     either side: both elements of a tuple are shared with probability p, one with sqrt(p), and
     a set overlap J means a common share of 2 J / (1 + J)."""
-    parts = F.array(*[F.lit(8 * i + 1) for i in range(bins)])
     empty = F.lit("--------")
-    filled = F.size(F.filter(parts, lambda i: (F.substr(F.col(a), i, F.lit(8)) != empty) | (F.substr(F.col(b), i, F.lit(8)) != empty)))
-    equal = F.size(F.filter(parts, lambda i: (F.substr(F.col(a), i, F.lit(8)) == F.substr(F.col(b), i, F.lit(8))) & (F.substr(F.col(a), i, F.lit(8)) != empty)))
-    return F.when(filled == 0, F.lit(1.0)).otherwise(2 * F.sqrt(equal / filled) / (1 + F.sqrt(equal / filled)))
+    cells = F.zip_with(
+        F.regexp_extract_all(a, F.lit(".{8}"), F.lit(0)), F.regexp_extract_all(b, F.lit(".{8}"), F.lit(0)),
+        lambda x, y: F.when((x == empty) & (y == empty), F.lit(None)).otherwise(F.when(x == y, F.lit(1.0)).otherwise(F.lit(0.0))),
+    )
+    # Sum and number of the cells that count, in one pass; from them the estimate.
+    state = F.struct(F.lit(0.0).alias("equal"), F.lit(0.0).alias("filled"))
+    return F.aggregate(
+        cells, state, lambda s, x: F.struct((s["equal"] + F.coalesce(x, F.lit(0.0))).alias("equal"), (s["filled"] + F.when(x.isNull(), 0.0).otherwise(1.0)).alias("filled")),
+        lambda s: F.when(s["filled"] == 0, F.lit(1.0)).otherwise(2 * F.sqrt(s["equal"] / s["filled"]) / (1 + F.sqrt(s["equal"] / s["filled"]))),
+    )
 
 
 def followed(docs: DataFrame) -> DataFrame:
@@ -140,7 +147,9 @@ def followed(docs: DataFrame) -> DataFrame:
 def compare_edited(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited form, whose last third is replaced by the
     beginning of the next document's text, with their likenesses."""
-    printed = with_fingerprint(followed(docs), "text", "fingerprint")
+    # Written first: carried through the union, the fingerprint's expressions make a plan that
+    # takes minutes to optimize.
+    printed = with_fingerprint(written(followed(docs), "followed"), "text", "fingerprint")
     order = W.partitionBy("bucket").orderBy(F.col("guest").desc(), "place", "text")
     pairs = printed.withColumn("__next", F.lag(F.struct("text", "fingerprint")).over(order)).filter(~F.col("guest"))
     cut = F.length("text") - F.floor(F.length("text") / 3)
