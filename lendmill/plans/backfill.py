@@ -50,7 +50,6 @@ def backfill(spark: SparkSession, lake: L.Lake, start: str, end: str, as_of, run
         rows = rows.join(known, ["event_id"], "left_anti").select(*C.EVENT_FACT_COLUMNS)
     # Settled before the overwrite: the plan above reads the table it replaces.
     rebuilt = settle(rows, lake.path("work", run_id, "silver"))
-    _drop_vanished(spark, lake, rebuilt, dates)
     (
         rebuilt.hint("rebalance", *lake.silver_partitions)
         .write.mode("overwrite")
@@ -58,6 +57,8 @@ def backfill(spark: SparkSession, lake: L.Lake, start: str, end: str, as_of, run
         .partitionBy(*lake.silver_partitions)
         .parquet(lake.silver)
     )
+    # Last, so that a run that dies before leaves rows too many and not too few.
+    _drop_vanished(spark, lake, rebuilt, dates)
     return sorted(dates)
 
 

@@ -29,12 +29,13 @@ def record_run(
     counts: DataFrame | None = None,
     metadata: dict | None = None,
 ) -> None:
-    """Append one audit row. ``counts`` is one row with received, accepted, quarantined."""
+    """Write one audit row, in place of the run's earlier row of that status. ``counts`` is
+    one row with received, accepted, quarantined."""
     if counts is None:
         counts = spark.range(1).select(
             *[F.lit(None).cast("bigint").alias(c) for c in ("received", "accepted", "quarantined")]
         )
-    counts.select(
+    row = counts.select(
         F.lit(run_id).alias("run_id"),
         F.lit(pipeline_name).alias("pipeline_name"),
         instant(started_at).alias("started_at"),
@@ -44,7 +45,8 @@ def record_run(
         F.col("accepted").alias("output_rows"),
         F.col("quarantined").alias("quarantined_rows"),
         F.lit(json.dumps(metadata or {}, sort_keys=True)).alias("metadata"),
-    ).write.mode("append").parquet(lake.runs)
+    )
+    S.replace(row.coalesce(1), lake.runs, ["pipeline_name", "run_id", "status"])
 
 
 def record_checks(results: DataFrame, lake: L.Lake, run_id: str, checked_at) -> None:
@@ -57,10 +59,10 @@ def record_checks(results: DataFrame, lake: L.Lake, run_id: str, checked_at) ->
     ).write.mode("append").parquet(lake.checks)
 
 
-def record_issues(gated: DataFrame, lake: L.Lake, recorded_at) -> None:
-    """Append the issue log."""
-    issues = G.issue_log(gated).withColumn("recorded_at", instant(recorded_at))
-    issues.select(*L.ISSUE_SCHEMA.names).write.mode("append").parquet(lake.issues)
+def record_issues(gated: DataFrame, lake: L.Lake, run_id: str, recorded_at) -> None:
+    """Write the issue log of a run, in place of its earlier one."""
+    issues = G.issue_log(gated).withColumn("recorded_at", instant(recorded_at)).withColumn("run_id", F.lit(run_id))
+    S.replace(issues.select(*L.ISSUE_SCHEMA.names), lake.issues, ["run_id"])
 
 
 def staged_tables(spark: SparkSession, lake: L.Lake) -> dict[str, DataFrame]:
@@ -100,16 +102,17 @@ def run_batch(
 
     gated = settle(G.gate(raw, as_of, order_by), lake.path("work", run_id, "gated"))
     counts = settle(R.gate_counts(gated), lake.path("work", run_id, "counts"))
-    rows = counts.first()["accepted"]
+    sizes = counts.first()
+    rows = sizes["accepted"]
 
     accepted = G.accepted(gated)
     S.load_event_fact(spark, lake, accepted, rows, order_by)
     S.load_typed_tables(spark, lake, accepted, rows, order_by)
     if messages:
-        S.load_quarantine(spark, lake, gated, rows)
+        S.load_quarantine(spark, lake, gated, sizes["quarantined"])
     else:
         S.quarantine_lines(gated).write.mode("append").json(lake.quarantine)
-    record_issues(gated, lake, as_of)
+    record_issues(gated, lake, run_id, as_of)
     record_run(spark, lake, run_id, "batch", as_of, as_of, "success", counts)
 
     R.quality_report(gated, list(order_by), as_of).coalesce(1).write.mode("overwrite").json(

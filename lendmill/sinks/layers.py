@@ -103,6 +103,16 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def replace(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Write parquet so that the folders of the key values in ``df`` hold these rows only.
+
+    Each writer has key values of its own. A write that is repeated gives the same folder,
+    and writers that run at one time do not meet: a dynamic overwrite stages its files in
+    a folder of its own, where appends to one path share theirs.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
 def insert_if_absent(
     spark: SparkSession,
     batch: DataFrame,
@@ -177,13 +187,16 @@ def load_typed_tables(
 
 
 def load_quarantine(spark: SparkSession, lake: L.Lake, gated: DataFrame, batch_rows: int) -> None:
-    """Insert failing records into quarantine, once per message."""
+    """Insert failing records into quarantine, once per message. ``batch_rows`` is a bound
+    for the failing records of the batch."""
     rows = quarantine_rows(gated)
     target = L.read_or_none(spark, lake.quarantine, L.QUARANTINE_SCHEMA)
     keys = list(ARRIVAL)
     if target is not None:
         known = existing_keys(target, rows, keys, batch_rows)
         rows = rows.join(known, keys, "left_anti")
-        ids = existing_keys(target, rows.filter("event_id is not null"), ["event_id"], batch_rows)
-        rows = rows.join(ids, ["event_id"], "left_anti")
+        # Contract failures have no id: kept out of the join, where they would be one hot key.
+        without, named = rows.filter("event_id is null"), rows.filter("event_id is not null")
+        ids = existing_keys(target, named, ["event_id"], batch_rows)
+        rows = without.unionByName(named.join(ids, ["event_id"], "left_anti"))
     append(rows.select(*L.QUARANTINE_SCHEMA.names), lake.quarantine, QUARANTINE_PARTITIONS)

@@ -1,6 +1,7 @@
 """Layers, batch runs, publication, backfill, replay and streaming on small lakes."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -194,6 +195,37 @@ def _finish(*queries):
         assert query.exception() is None
 
 
+def test_writers_at_one_time_lose_no_metrics(spark, lake):
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [
+            pool.submit(J._record_metrics, spark, lake, name, batch, "reason", {"x": (batch, None), "y": (1, None)})
+            for batch in range(12) for name in ("accepted", "quarantine")
+        ]
+        for job in jobs:
+            job.result()
+    J._record_metrics(spark, lake, "quarantine", 5, "reason", {"x": (5, None), "y": (1, None)})
+    assert L.read_table(spark, lake.metrics, L.METRIC_SCHEMA).count() == 2 * len(jobs)
+
+
+def test_one_verdict_fills_both_sides(spark, lake):
+    first, second = a_day(1, day=1, n=7) + ["junk"], a_day(5, day=1, n=6) + ["junk again"]
+    _finish(J.start_gated(_topic(spark, lake, first, second), lake, AS_OF, available_now=True))
+    assert L.event_fact(spark, lake).count() == 10
+    assert ids(L.quarantine(spark, lake), "raw_value") == ["junk", "junk again"]
+    metrics = L.read_table(spark, lake.metrics, L.METRIC_SCHEMA)
+    assert {r[0]: r[1] for r in metrics.groupBy("query_name").agg(F.sum("records")).collect()} == {"accepted": 13, "quarantine": 2}
+
+
+def test_a_batch_of_failures_alone(spark, lake):
+    """No accepted row; failures without an id are kept, each once."""
+    for run in ("one", "two"):
+        P.run_batch(spark, lake, raw(spark, ["junk"] * 5), AS_OF, run)
+    assert L.quarantine(spark, lake).count() == 5
+    assert L.read_table(spark, lake.runs, L.RUN_SCHEMA).count() == 2
+    P.run_batch(spark, lake, raw(spark, ["junk"] * 5), AS_OF, "two")
+    assert L.read_table(spark, lake.runs, L.RUN_SCHEMA).count() == 2
+
+
 def test_stream_equals_batch(spark, lake, tmp_path):
     first, second = a_day(1, day=1, n=7) + ["junk"], a_day(5, day=1, n=6) + a_day(30, day=2) + ["junk again"]
     stream = _topic(spark, lake, first, second)
