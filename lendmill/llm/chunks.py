@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ from lendmill.llm.common import in_tasks, salted, text_rows, written
 
 #: Bytes of the rolling window, mean bytes between candidate borders, least and most bytes of a chunk.
 ROLL, MEAN, LEAST, MOST = 32, 1 << 10, 256, 1 << 14
+#: Bytes of texts that a task opens at a time, but for a single longer text.
+OPEN_BYTES = 1 << 25
 
 
 @functools.lru_cache(maxsize=1)
@@ -86,6 +89,34 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as they travel to the joins, which otherwise move every text twice."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        body = [packer.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(body, pa.binary())], names=["doc_id", "row", "body"])
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array]]:
+    """First row and texts of parts of a batch."""
+    opener = zstandard.ZstdDecompressor()
+    first, size, texts = 0, 0, []
+    for i, body in enumerate(batch.column("body")):
+        texts.append(opener.decompress(body.as_py()))
+        size += len(texts[-1])
+        if size >= OPEN_BYTES:
+            yield first, pa.array(texts, pa.binary()).cast(pa.string())
+            first, size, texts = i + 1, 0, []
+    if texts:
+        yield first, pa.array(texts, pa.binary()).cast(pa.string())
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for first, texts in _opened(batch):
+        for start, _, data, offsets in tokens.slices(texts):
+            yield first + start, data, offsets
+
+
 def _core(text: bytes) -> tuple[int, int]:
     """First and last unit border of a chunk (-1, -1 if it has none)."""
     places = [p for p in (text.find(b" "), text.find(b"\n")) if p >= 0]
@@ -103,7 +134,7 @@ def _owned(path: str):
             keys: list[tuple[int, int]] = []
             cores: list[bytes] = []
             wanted = batch.column("own").to_pylist()
-            for start, _, data, offsets in tokens.slices(batch.column("text")):
+            for start, data, offsets in _slices(batch):
                 raw = data.tobytes()
                 for i, cuts in enumerate(borders(data, offsets)):
                     for chunk in wanted[start + i]:
@@ -124,7 +155,7 @@ def _owned(path: str):
 def _assembled(path: str, batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
     """Row number and ids of each text of a batch."""
     shared = batch.column("shared").to_pylist()
-    for start, _, data, offsets in tokens.slices(batch.column("text")):
+    for start, data, offsets in _slices(batch):
         raw = data.tobytes()
         plans: list[list[bytes | int]] = []
         texts: list[bytes] = []
@@ -179,18 +210,19 @@ def decode(path: str, ids: np.ndarray) -> str:
 
 
 def _with_shared(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, text and the ids of its shared chunks, each encoded once."""
+    """doc_id, text (compressed) and the ids of its shared chunks, each encoded once."""
     rows = text_rows(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     places = written(in_tasks(rows.select("row", "text"), _cut, "row long, k int, h1 long, h2 long"), "chunks")
     shared = written(places.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "k")).alias("owner")).filter("n > 1"), "shared-chunks")
     roles = written(places.join(shared, ["h1", "h2"]).select("row", "k", "h1", "h2", "n", (F.col("owner.row").eqNullSafe(F.col("row")) & (F.col("owner.k") == F.col("k"))).alias("own")), "roles")
     own = roles.filter("own").groupBy("row").agg(F.collect_set(F.struct("k", "h1", "h2")).alias("own"))
-    coded = in_tasks(rows.join(own, "row").select("doc_id", "text", "own"), _owned(path), "h1 long, h2 long, ids binary")
+    bodies = in_tasks(rows, _squeeze, "doc_id long, row long, body binary")
+    coded = in_tasks(bodies.join(own, "row").select("body", "own"), _owned(path), "h1 long, h2 long, ids binary")
     coded = coded.groupBy("h1", "h2").agg(F.first("ids").alias("ids")).join(shared.select("h1", "h2", "n"), ["h1", "h2"])
     coded = written(coded, "coded-chunks")
     uses = salted(roles.select("row", "k", "h1", "h2", "n"), coded, ["h1", "h2"], ["row", "k"], "n")
     lists = uses.groupBy("row").agg(F.collect_set(F.struct("k", "ids")).alias("shared"))
-    return rows.join(lists, "row", "left").select("doc_id", "text", "shared")
+    return bodies.join(lists, "row", "left").select("doc_id", "body", "shared")
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
