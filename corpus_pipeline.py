@@ -1,13 +1,14 @@
 """A pipeline over the documents table: each stage is one operator, written and read again.
 
 1. toxicity: documents that the segment model scores as toxic go;
-2. near_duplicates: of each group of near-duplicates the smallest id stays;
+2. near_duplicates: of each group of near-duplicates one row stays, of the smallest id;
 3. repeats: passages that occur elsewhere are cut out of the texts;
 4. personal_data: spans are replaced by their kind;
 5. packing: what is left is cut into sequences along the curve.
 
 All stages but the last keep the columns of documents; ``n_chars`` follows the text. Rows
-with a null id stay unless a stage rejects them; an empty table gives an empty result.
+with a null id stay unless a stage rejects them, and repeated rows are near-duplicates, told
+apart by a number; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +30,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = tensor_minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    return tensor_minhash.one_of_each(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.llm import tokens, words
@@ -75,15 +75,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 halves.append(key.view(np.int64))
                 sketches.append((least & np.uint64(0xFFFF)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[start:end], pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
+                [batch.column("doc_id")[start:end], batch.column("row")[start:end], pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
                  pa.array(halves, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "halves", "sketch"],
+                names=["doc_id", "row", "n_shingles", "node", "halves", "sketch"],
             )
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the shingle set), half-keys and minhash values."""
-    return in_tasks(text_rows(docs), _sketch, "doc_id long, n_shingles long, node long, halves array<bigint>, sketch binary")
+def sketches(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc_id, row (its number, if there is one), n_shingles, node (hash of the shingle set),
+    half-keys and minhash values."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(0) if row is None else row).cast("long").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    return in_tasks(rows, _sketch, "doc_id long, row long, n_shingles long, node long, halves array<bigint>, sketch binary")
 
 
 def table_rows(nodes: DataFrame) -> DataFrame:
@@ -210,13 +212,18 @@ def all_pairs_left(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return alike.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    rows = written(sketches(docs), "sketches")
+def _least(*names: str) -> Column:
+    """Of the rows the one with the least values; an id that is null comes after all others."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", *names))
+
+
+def grouped_nodes(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of the documents and their sketches: node, label (of its component), and doc_id and row
+    of the node's least row."""
     nodes = written(
         rows.filter("n_shingles > 0").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch")
-        ),
+            _least("row").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch")
+        ).select("node", "least.doc_id", "least.row", "n_shingles", "halves", "sketch"),
         "nodes",
     )
     tables = table_rows(nodes)
@@ -239,9 +246,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = confirmed(all_pairs_left(unsettled(tables, labels), nodes), texts)
     links = more if links is None else links.union(more)
     labels = components(links)
-    grouped = written(nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label")), "grouped")
+    return written(nodes.select("node", "doc_id", "row").join(labels, "node", "left").select("node", "doc_id", "row", F.coalesce("label", "node").alias("label")), "grouped")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    rows = written(sketches(docs), "sketches")
+    grouped = grouped_nodes(docs, rows)
     names = written(grouped.groupBy("label").agg(F.min("doc_id").alias("component_id")), "names")
     of_node = written(grouped.join(names, "label").select("node", "component_id"), "classes")
     linked = rows.filter("n_shingles > 0").select("doc_id", "n_shingles", "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
     alone = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents with all their columns, one row of each component: of the smallest id, of
+    these the first row. Texts without words are linked with nothing and stay."""
+    # Rows that are equal in everything are told apart by a number, which is written with them.
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    rows = written(sketches(numbered, F.col("__row")), "sketches")
+    first = grouped_nodes(numbered, rows).groupBy("label").agg(_least("row").alias("least")).select("least.row")
+    stay = first.union(rows.filter("n_shingles = 0").select("row"))
+    return numbered.join(stay, numbered["__row"] == stay["row"], "left_semi").drop("__row")

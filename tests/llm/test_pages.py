@@ -46,3 +46,23 @@ def test_pipeline(spark, tmp_path):
     kept = {r["doc_id"]: r["text"] for r in left.collect()}
     assert kept == {1: text, 3: "mail <EMAIL> please", 4: None}
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, f"file://{tmp_path}").collect()} == {1, 3, 4}
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [(1, text("a")), (1, text("a")), (1, text("b")), (2, text("c")), (None, text("c")), (None, text("d")), (None, text("d")), (None, text("d") + " end"), (None, text("e")), (5, text("e")), (None, None), (None, None), (6, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    left = spark.read.parquet(f"file://{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, f"file://{tmp_path}")
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    d = [t for k, t in got if k is None and t]
+    assert len(d) == 1 and d[0] in (text("d"), text("d") + " end")
+    want = [(1, text("a")), (1, text("b")), (2, text("c")), (None, d[0]), (5, text("e")), (None, None), (None, None), (6, "")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
