@@ -39,6 +39,10 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template head title svg iframe object canvas math audio video".split())
+#: The head ends with the first start tag or text that cannot stand in it; of elements that are open in it, only the title ends with it.
+HEAD = frozenset("html head title base link meta script style noscript template".split())
+#: Elements of other vocabularies, which a slash ends.
+FOREIGN = frozenset("svg math".split())
 ENDS_BY_NEXT = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
@@ -91,6 +95,8 @@ class Leaves(HTMLParser):
         return found
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD:
+            self._close_head(tag)
         if tag in BLOCK:
             self.flush()
             self._close_open(tag)
@@ -111,6 +117,19 @@ class Leaves(HTMLParser):
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # A slash means nothing on elements that have an end tag.
         self.handle_starttag(tag, attrs)
+        if tag in FOREIGN:
+            self.handle_endtag(tag)
+
+    def _close_head(self, tag: str | None) -> None:
+        """Before a start tag that is no element of the head, or text: end the head."""
+        if not self.silent:
+            return
+        k = next((i for i, (name, _, _) in enumerate(self.stack) if name == "head"), None)
+        if k is None:
+            return
+        inner = {name for name, _, _ in self.stack[k + 1 :]} - {"head"}
+        if not inner or tag == "body" or (tag in BLOCK and inner == {"title"}):
+            self._pop_to(k)
 
     def _close_open(self, tag: str) -> None:
         ends = {"p"} | ENDS_BY_NEXT.get(tag, set())
@@ -140,6 +159,8 @@ class Leaves(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._close_head(None)
         if self.silent:
             return
         self.parts.append(data)

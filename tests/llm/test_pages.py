@@ -16,6 +16,20 @@ def test_extract(spark):
     assert crf.extract(frame.limit(0)).count() == 0
 
 
+def test_open_heads_and_self_closing_icons():
+    def texts(html):
+        return [b.text for b in crf.leaf_blocks(html)]
+
+    assert texts("<html><head><title>T</title><body><p>One</p>") == ["One"]
+    assert texts("<head><meta charset=x><title>T</title><style>s{}</style><script>v</script><p>One<p>Two") == ["One", "Two"]
+    assert texts("<head><title>T</title><a href=x>One</a> two") == ["One two"]
+    assert texts("<head><title>T</title> One <p>Two") == ["One", "Two"]
+    assert texts("<head><noscript><p>no</p></noscript><template><div>no</div></template><title>T</title></head><body>One") == ["One"]
+    assert texts("<head><title>T</title><noscript><p>no</p><body>One") == ["One"]
+    assert texts("<p>One <svg/>two <math/>three</p><p>Four") == ["One two three", "Four"]
+    assert texts("<article><svg class=i /><p>One</p><svg><title>no</title><path/></svg>Two<svg><svg/><text>no</text></svg></article>") == ["One", "Two"]
+
+
 def test_other_layouts():
     draw = random.Random(1)
     texts = [f"Sentence {i} has some words, and it ends here." for i in range(12)]
