@@ -36,19 +36,40 @@ class Kind:
     score: float
     context: str
     base: bool = False
+    #: Where the pattern finds only the heads of spans: what a span is, from a head on, and the
+    #: most code points that are needed to tell.
+    whole: str = ""
+    reach: int = 0
 
 
 def _start(run: str) -> str:
     return f"(?:(?<!{run})|\\G)"
 
 
+# Lengths of account numbers by country: the IBAN registry, and the countries that use the form
+# without being in it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA YE", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """A whole account number by its country's length; of any other country, all that follows."""
+    known = [f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()]
+    other = f"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11,30}}+"
+    return f"^(?:{'|'.join([*known, other])})(?![A-Za-z0-9])"
+
+
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 KINDS = (
     Kind("email", f"{_start(_LOCAL)}{_LOCAL}++@{_LABEL}++(?:\\.{_LABEL}++)++", 0.9, "e-?mail|contact|courriel|correo", True),
     Kind("ip", f"{_start('[0-9]')}[0-9]++(?:\\.[0-9]++){{3}}", 0.7, "ip|server|host|address", True),
     Kind("card", f"{_start('[0-9]')}[0-9](?:[\\x20-]?[0-9])++", 0.8, "card|karte|carte|tarjeta|visa|credit", True),
     Kind("phone", "\\+[0-9][\\x20().0-9-]+[0-9]", 0.7, "tel|phone|call|fax|mobile|telefon", True),
-    Kind("iban", "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.6, "iban|account|bank|konto|compte|cuenta"),
+    # The head only, so that a number that is none does not take the beginning of the next one.
+    Kind("iban", "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\\x20?[A-Z0-9]){11})", 0.6, "iban|account|bank|konto|compte|cuenta", whole=_iban(), reach=65),
     Kind("ssn", "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.4, "ssn|social|security"),
     Kind("local_phone", "(?<![0-9+.(-])(?<!\\+[0-9]{1,3}[\\x20-])\\(?[0-9]{3,4}\\)?[\\x20-][0-9]{3}[\\x20-]?[0-9]{4}(?![0-9.-])", 0.3, "tel|phone|call|fax|mobile|telefon"),
 )
@@ -130,6 +151,8 @@ def with_spans(df: DataFrame, text: str = "text", name: str = "spans") -> DataFr
     def spans_of(i: int, kind: Kind) -> Column:
         def span(match: Column, j: Column) -> Column:
             start = F.col(f"__b{i}")[2 * j + 1]
+            if kind.whole:
+                match = F.regexp_extract(F.substr(F.col(text), start + 1, F.lit(kind.reach)), kind.whole, 0)
             before = F.substr(F.col(text), F.greatest(start - NEAR, F.lit(0)) + 1, F.least(start, F.lit(NEAR)))
             score = F.lit(kind.score) + F.when(F.lower(before).rlike(f"\\b(?:{kind.context})"), F.lit(0.3)).otherwise(F.lit(0.0))
             return F.struct(

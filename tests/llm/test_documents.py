@@ -138,6 +138,20 @@ def test_account_numbers_and_long_runs(spark):
     assert got[1] == "iban:5:27" and "iban" not in got[2] and got[6] == "local_phone:4:16"
 
 
+def test_account_numbers_before_other_words(spark):
+    number, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    rows = [
+        (1, f"iban {number} End"), (2, f"iban {spaced} BIC COBADEFF"), (3, f"iban {spaced} 2024 x"), (4, f"{number} {spaced}"), (5, f"SE20 {spaced} A"), (6, f"{number}0"),
+        (7, "GB29 NWBK 6016 1331 9268 19 NO93 8601 1117 947 MT84 MALT 0110 0001 2345 MTLC AST0 01S FR14 2004 1010 0505 0001 3M02 606 Le"), (8, f"{number[:21]} End"), (9, "AB12 CD34 " * 9000),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("iban")] for r in pii.span_table(frame).collect()}
+    assert got[1] == ["iban:5:27"] and got[2] == got[3] == ["iban:5:32"] and got[4] == ["iban:0:22", "iban:23:50"] and got[5] == ["iban:5:32"]
+    assert got[7] == ["iban:0:27", "iban:28:46", "iban:47:85", "iban:86:119"] and not got[6] and not got[8]
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(frame).collect()}
+    assert masked[1] == "iban <IBAN> End" and masked[5] == "SE20 <IBAN> A"
+
+
 def clusters(pairs):
     sets = []
     for k, t in pairs:
