@@ -3,7 +3,8 @@
 A page is read as a tree; its leaf blocks (runs of text between block-level tags) form a
 chain. Features of a block are the tags above it, words of their class, id and role, and
 simple measures of its text. The field is trained on labelled pages: a bounded sample of the
-given pages, labelled by their article element, and pages put together from their paragraphs
+given pages, labelled by their article element less what is named as standing beside the
+main part in it (adverts, notices, related links, comments), and pages put together from their paragraphs
 in many other layouts, with menus, notices, adverts, forms, sidebars and reader comments in
 and around the main part. Viterbi decoding labels whole pages; blocks labelled main are
 joined in page order.
@@ -56,8 +57,11 @@ class Block:
 class Leaves(HTMLParser):
     """Collects leaf blocks with their features."""
 
-    def __init__(self) -> None:
+    def __init__(self, learn: bool = False) -> None:
+        """``learn``: label blocks by the article element and what stands beside in it, not by
+        ``data-main``."""
         super().__init__(convert_charrefs=True)
+        self.learn = learn
         self.stack: list[tuple[str, list[str], str | None]] = []
         self.parts: list[str] = []
         self.linked = self.total = 0
@@ -81,6 +85,14 @@ class Leaves(HTMLParser):
                 return int(mark)
         return None
 
+    def _learned(self, tag: str, attrs: list[tuple[str, str | None]]) -> str | None:
+        """The mark of an element of a real page: the outermost article or main is the main part,
+        elements below it that are named as something beside it are not."""
+        inside = any(mark is not None for _, _, mark in self.stack)
+        if not inside:
+            return "1" if tag in ("article", "main") else None
+        return "0" if tag in ASIDE or any(key in ("class", "id", "role") and value and any(map(is_beside, value.lower().split())) for key, value in attrs) else None
+
     def _features(self, text: str) -> list[str]:
         above = {f"in:{tag}" for tag, _, _ in self.stack if tag in BLOCK}
         for _, names, _ in self.stack:
@@ -108,8 +120,10 @@ class Leaves(HTMLParser):
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 names += [f"named:{w}" for w in re.split(r"[^a-z]+", value.lower()) if w]
-            elif key == "data-main":
+            elif key == "data-main" and not self.learn:
                 mark = value
+        if self.learn:
+            mark = self._learned(tag, attrs)
         self.stack.append((tag, names, mark))
         if tag in SILENT:
             self.silent += 1
@@ -170,8 +184,8 @@ class Leaves(HTMLParser):
             self.linked += n
 
 
-def leaf_blocks(html: str) -> list[Block]:
-    parser = Leaves()
+def leaf_blocks(html: str, learn: bool = False) -> list[Block]:
+    parser = Leaves(learn)
     parser.feed(html)
     parser.close()
     parser.flush()
@@ -255,6 +269,23 @@ BESIDE = (
     ("div", "notice consent popup"), ("div", "newsletter subscribe"), ("div", "share social"), ("div", "breadcrumb"), ("form", "search"), ("form", "login"), ("form", ""), ("section", "comments"),
     ("div", "comment-list"), ("div", "reader-comments discussion"), ("aside", ""), ("nav", ""), ("nav", "menu"), ("div", "menu navigation"), ("ul", "menu"), ("dialog", "modal"),
 )
+#: Elements beside the main part by their kind, and words of names that say so: those of the
+#: layouts (but for words that stand for something else when alone) and others in common use.
+ASIDE = frozenset("aside nav footer form dialog".split())
+BESIDE_WORDS = frozenset(w for _, name in BESIDE for w in re.split("[ -]", name) if w) - frozenset("banner links list reader search".split()) | frozenset(
+    "ads advertisement adverts advertising breadcrumbs complementary disqus notices paywall recommended respond sharing sponsor".split()
+)
+#: Words before them that make a name a state or a topic of what is there.
+STATES = frozenset("category format has hide is no not tag topic type with without".split())
+
+
+def is_beside(name: str) -> bool:
+    """Whether a class, id or role names a part beside the main text: by its first or last word
+    (comment-list, reader-comments), not as a state (has-sidebar, category-social)."""
+    parts = [w for w in re.split(r"[^a-z]+", name) if w]
+    return bool(parts) and parts[0] not in STATES and (parts[0] in BESIDE_WORDS or parts[-1] in BESIDE_WORDS)
+
+
 FALLBACK = ("This is a paragraph of the story, with several words and an end.", "Another one follows it. It is short.", "And the last one closes the page, with a few more words than before.")
 
 
@@ -308,9 +339,9 @@ def train(pages: DataFrame, html_col: str = "html") -> Field:
     chosen = pages.filter(F.col(html_col).isNotNull()).select("page_id", F.col(html_col).alias("html")).orderBy(key, "page_id").limit(TRAIN_PAGES).collect()  # bounded
     draw, chains = random.Random(17), []
     for row in chosen or [None] * 40:
-        blocks = leaf_blocks(row["html"]) if row else []
+        blocks = leaf_blocks(row["html"], learn=True) if row else []
         for block in blocks:
-            block.label = int(any(f in ("in:article", "in:main") for f in block.features) and not any(f in ("in:nav", "in:aside", "in:footer", "in:form") for f in block.features))
+            block.label = int(block.label == 1 and not any(f in ("in:nav", "in:aside", "in:footer", "in:form") for f in block.features))
         if any(b.label for b in blocks):
             chains.append(blocks)
         paragraphs = [b.text for b in blocks if b.label and "at:h1" not in b.features][:12] or list(FALLBACK)

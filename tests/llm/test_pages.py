@@ -30,6 +30,30 @@ def test_open_heads_and_self_closing_icons():
     assert texts("<article><svg class=i /><p>One</p><svg><title>no</title><path/></svg>Two<svg><svg/><text>no</text></svg></article>") == ["One", "Two"]
 
 
+def test_what_stands_beside_inside_articles(spark):
+    draw = random.Random(8)
+
+    def some(low, high):
+        return " ".join(f"word{draw.randrange(500)}" for _ in range(draw.randint(low, high)))
+
+    rows, want = [], {}
+    for i in range(60):
+        body = [some(15, 40) + "." for _ in range(5)]
+        beside = [
+            f'<div class="ad"><p>{some(15, 40)}.</p></div>', f'<div class="notice"><p>{some(15, 40)}.</p></div>', f'<div class="related-posts"><p>{some(15, 40)}.</p></div>',
+            f'<section id="comments"><article class="comment"><p>{some(15, 40)}.</p></article><article class="comment"><p>{some(15, 40)}.</p></article></section>',
+        ]
+        inside = f'<h1>T {i}</h1><p>{body[0]}</p>{beside[0]}<p>{body[1]}</p><p>{body[2]}</p>{beside[1]}<p>{body[3]}</p><div class="entry has-sidebar"><p>{body[4]}</p></div>{beside[2]}{beside[3]}'
+        rows.append((i, f"u{i}", f'<html><head><title>T</title><body class="ad"><nav><a href=x>Home</a></nav><article class="post category-notice">{inside}</article></body></html>'))
+        want[i] = " ".join([f"T {i}", *body])
+    blocks = crf.leaf_blocks(rows[0][2], learn=True)
+    assert " ".join(b.text for b in blocks if b.label) == want[0]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in crf.extract(frame).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 57
+    assert [crf.is_beside(n) for n in ("ad", "comment-list", "reader-comments", "has-sidebar", "category-notice", "entry-content", "added", "")] == [True] * 3 + [False] * 5
+
+
 def test_other_layouts():
     draw = random.Random(1)
     texts = [f"Sentence {i} has some words, and it ends here." for i in range(12)]
