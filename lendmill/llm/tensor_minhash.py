@@ -75,17 +75,18 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 halves.append(key.view(np.int64))
                 sketches.append((least & np.uint64(0xFFFF)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[start:end], batch.column("row")[start:end], pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
+                [*[batch.column(c)[start:end] for c in ("doc_id", "mark", "row")], pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
                  pa.array(halves, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "row", "n_shingles", "node", "halves", "sketch"],
+                names=["doc_id", "mark", "row", "n_shingles", "node", "halves", "sketch"],
             )
 
 
 def sketches(docs: DataFrame, row: Column | None = None) -> DataFrame:
-    """doc_id, row (its number, if there is one), n_shingles, node (hash of the shingle set),
-    half-keys and minhash values."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.lit(0) if row is None else row).cast("long").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    return in_tasks(rows, _sketch, "doc_id long, row long, n_shingles long, node long, halves array<bigint>, sketch binary")
+    """doc_id, mark (hash of the text), row (its number, if there is one), n_shingles, node (hash
+    of the shingle set), half-keys and minhash values."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), (F.lit(0) if row is None else row).cast("long").alias("row"), text.alias("text"))
+    return in_tasks(rows, _sketch, "doc_id long, mark long, row long, n_shingles long, node long, halves array<bigint>, sketch binary")
 
 
 def table_rows(nodes: DataFrame) -> DataFrame:
@@ -148,7 +149,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lower = words.lower_ascii(data)
             raw = lower.tobytes()
             for k, (shingles, i, j) in enumerate(zip(words.shingle_sets(lower, at, SHINGLE), at[:-1].tolist(), at[1:].tolist(), strict=True)):
-                # Another text under the same document id is not this node's.
+                # Another text of the same id and hash is not this node's.
                 packed.append(pack.compress(raw[i:j]) if _name(shingles) == nodes[start + k] else None)
         right = pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], names=["node", "packed"])
         yield right.filter(right.column("packed").is_valid())
@@ -218,19 +219,24 @@ def _least(*names: str) -> Column:
 
 
 def grouped_nodes(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of the documents and their sketches: node, label (of its component), and doc_id and row
-    of the node's least row."""
+    """Of the documents and their sketches: node, label (of its component), and doc_id, mark
+    and row of the node's least row."""
     nodes = written(
         rows.filter("n_shingles > 0").groupBy("node").agg(
-            _least("row").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch")
-        ).select("node", "least.doc_id", "least.row", "n_shingles", "halves", "sketch"),
+            _least("mark", "row").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch")
+        ).select("node", "least.doc_id", "least.mark", "least.row", "n_shingles", "halves", "sketch"),
         "nodes",
     )
     tables = table_rows(nodes)
-    wanted = written(tables.select("node").distinct().join(nodes.select("node", "doc_id", "n_shingles"), "node"), "wanted")
+    wanted = written(tables.select("node").distinct().join(nodes.select("node", "doc_id", "mark"), "node"), "wanted")
     lost = F.lit(-(1 << 62))
-    found = text_rows(docs).select(F.coalesce("doc_id", lost).alias("id"), "text").join(wanted.select("node", F.coalesce("doc_id", lost).alias("id")), "id")
-    texts = written(in_tasks(found.select("node", "text"), _pack, "node long, packed binary"), "texts")
+    # By id and text, so that rows of one id, or of none, meet just the node of their own text.
+    found = text_rows(docs).select(F.coalesce("doc_id", lost).alias("id"), F.xxhash64("text").alias("mark"), "text").join(
+        wanted.select("node", F.coalesce("doc_id", lost).alias("id"), "mark"), ["id", "mark"]
+    )
+    packed = in_tasks(found.select("node", "text"), _pack, "node long, packed binary")
+    # Rows that are equal in both: one of them is enough.
+    texts = written(packed.groupBy("node").agg(F.first("packed").alias("packed")), "texts")
     weights = written(tables.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
     links, labels, turn = None, None, 0
     while True:
@@ -246,7 +252,7 @@ def grouped_nodes(docs: DataFrame, rows: DataFrame) -> DataFrame:
     more = confirmed(all_pairs_left(unsettled(tables, labels), nodes), texts)
     links = more if links is None else links.union(more)
     labels = components(links)
-    return written(nodes.select("node", "doc_id", "row").join(labels, "node", "left").select("node", "doc_id", "row", F.coalesce("label", "node").alias("label")), "grouped")
+    return written(nodes.select("node", "doc_id", "mark", "row").join(labels, "node", "left").select("node", "doc_id", "mark", "row", F.coalesce("label", "node").alias("label")), "grouped")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -262,10 +268,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, one row of each component: of the smallest id, of
-    these the first row. Texts without words are linked with nothing and stay."""
+    these the text of least hash. Texts without words are linked with nothing and stay."""
     # Rows that are equal in everything are told apart by a number, which is written with them.
     numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     rows = written(sketches(numbered, F.col("__row")), "sketches")
-    first = grouped_nodes(numbered, rows).groupBy("label").agg(_least("row").alias("least")).select("least.row")
+    first = grouped_nodes(numbered, rows).groupBy("label").agg(_least("mark", "row").alias("least")).select("least.row")
     stay = first.union(rows.filter("n_shingles = 0").select("row"))
     return numbered.join(stay, numbered["__row"] == stay["row"], "left_semi").drop("__row")

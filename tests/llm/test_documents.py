@@ -194,6 +194,30 @@ def test_near_duplicates_of_a_spread_group(spark):
     same([tuple(r) for r in tensor_minhash.near_duplicates(frame).collect()], clusters(rows))
 
 
+def test_near_duplicates_without_ids_fetch_each_text_once(spark, monkeypatch):
+    base = [f"v{i}" for i in range(120)]
+    rows = [(None if k % 2 else 7, " ".join([*base[:k], f"n{k}", *base[k + 1 :]])) for k in range(40)] * 2
+    seen, kept = {}, tensor_minhash.written
+
+    def counted(df, label):
+        out = kept(df, label)
+        seen[label] = out.count()
+        return out
+
+    original = tensor_minhash.in_tasks
+
+    def tasks(df, function, schema):
+        if function is tensor_minhash._pack:
+            seen["fetched"] = df.count()
+        return original(df, function, schema)
+
+    monkeypatch.setattr(tensor_minhash, "written", counted)
+    monkeypatch.setattr(tensor_minhash, "in_tasks", tasks)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    same([tuple(r) for r in tensor_minhash.near_duplicates(frame).collect()], clusters(rows))
+    assert seen["nodes"] == seen["texts"] == 40 and seen["fetched"] == 80
+
+
 def test_order_minhash(docs, none, spark):
     rows = {r["doc_id"]: r for r in order_minhash.compare_edited(docs.dropDuplicates(["doc_id"])).collect()}
     ordered = sorted(((k, t) for k, t in dict(texts_of(docs)).items()), key=lambda x: -1 if x[0] is None else x[0], reverse=True)
