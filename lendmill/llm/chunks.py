@@ -36,11 +36,6 @@ ROLL, MEAN, LEAST, MOST = 32, 1 << 10, 256, 1 << 14
 OPEN_BYTES = 1 << 25
 
 
-@functools.lru_cache(maxsize=1)
-def _second_values() -> np.ndarray:
-    return np.random.default_rng(23).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-
-
 def borders(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Chunk borders of each text (from its first byte to its end), set by content."""
     at = np.arange(max(len(data) - ROLL + 1, 0))
@@ -82,7 +77,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             first = np.concatenate([c[:-1] for c in cuts])
             last = np.concatenate([c[1:] for c in cuts])
-            hashes = [tokens.range_hashes(v[data], first, last).view(np.int64) for v in (tokens._byte_values(), _second_values())]
+            raw = memoryview(data)
+            digests = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+            hashes = np.frombuffer(digests, "<i8").reshape(-1, 2).T.copy()
             number = np.arange(len(first)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(rows[start : start + len(cuts)], sizes)), pa.array(number.astype(np.int32)), *map(pa.array, hashes)], names=["row", "k", "h1", "h2"]

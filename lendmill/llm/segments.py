@@ -57,9 +57,8 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     before = np.concatenate([[True], ~letter])[: len(low)] | border[:-1]
     after = np.concatenate([~letter[1:], [True]])[: len(low)] | border[1:]
     starts, ends = np.flatnonzero(letter & before), np.flatnonzero(letter & after) + 1
-    values = words._byte_values()[low]
-    whole = words.range_hashes(values, starts, ends)
-    prefix = words.range_hashes(values, starts, np.minimum(ends, starts + PREFIX_BYTES)) ^ np.uint64(0x5555)
+    whole = words.word_hashes(low, starts, ends)
+    prefix = words.word_hashes(low, starts, np.minimum(ends, starts + PREFIX_BYTES)) ^ np.uint64(0x5555)
     return whole, prefix, starts, ends, np.searchsorted(starts, offsets)
 
 

@@ -83,7 +83,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for each pair, from one running sum."""
+    """A 64-bit hash of values[start:end] for each pair, from one running sum. Modulo a power
+    of two, so it tells short ranges apart (units of up to LONGEST_BYTES, a rolling window) but
+    there are pairs of ranges from some 1,000 values on that agree: see ``words`` for those."""
     up, down = powers(len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:-1], out=total[1:])
@@ -146,9 +148,14 @@ class UnitMemory:
         self.used = 1  # place 0: no ids
         self.ends = np.zeros((WAYS, SETS), np.int32)
 
+    @staticmethod
+    def sets(hashes: np.ndarray) -> np.ndarray:
+        """The lowest bit is always one (a key is never 0), so the set is taken from others."""
+        return ((hashes >> np.uint64(1)) & np.uint64(SETS - 1)).astype(np.int64)
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First place and end in the pool; place 0 where the unit is unknown."""
-        place = (hashes & np.uint64(SETS - 1)).astype(np.int64)
+        place = self.sets(hashes)
         first, last = np.zeros(len(hashes), np.int32), np.zeros(len(hashes), np.int32)
         for way in range(WAYS):
             same = self.keys[way][place] == hashes
@@ -188,7 +195,7 @@ class UnitMemory:
     def keep(self, hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
         """Remember distinct new units; the oldest of a full set gives way."""
         left = np.arange(len(hashes))
-        place = (hashes & np.uint64(SETS - 1)).astype(np.int64)
+        place = self.sets(hashes)
         for way in range(WAYS):
             free = left[self.keys[way][place[left]] == 0] if way < WAYS - 1 else left
             _, one = np.unique(place[free], return_index=True)

@@ -1,10 +1,69 @@
-"""Words and word windows of texts as arrays of hashes."""
+"""Words and word windows of texts as arrays of hashes.
+
+Ranges are hashed as polynomials modulo the prime 2**61 - 1 at a drawn base: two different
+ranges of n values agree with a probability of n / 2**61 over the draw, whatever they hold.
+(Sums modulo a power of two have pairs of long ranges that agree at every base.)
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-from lendmill.llm.tokens import _byte_values, range_hashes
+PRIME = (1 << 61) - 1
+_P = np.uint64(PRIME)
+_LOW31, _LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+BASE = 0x13C6EF372FE94F82 % PRIME
+#: Bytes of a range whose sums stay below 2**64; a longer word is hashed by itself.
+LONGEST_WORD = 1 << 22
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it."""
+    a_high, a_low, b_high, b_low = a >> np.uint64(31), a & _LOW31, b >> np.uint64(31), b & _LOW31
+    middle = a_high * b_low + a_low * b_high
+    return reduced(a_high * b_high * np.uint64(2) + (middle >> np.uint64(30)) + ((middle & _LOW30) << np.uint64(31)) + a_low * b_low)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, by doubling."""
+    if "up" not in _POWERS or len(_POWERS["up"]) < n:
+        for name, base in (("up", BASE), ("down", pow(BASE, -1, PRIME))):
+            found = np.ones(1, np.uint64)
+            while len(found) < max(n, 1 << 21):
+                found = np.concatenate([found, times(found, np.uint64(pow(base, len(found), PRIME)))])
+            _POWERS[name] = found
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+def _finished(sums: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    found = times(sums, _POWERS["down"][starts]) ^ (sizes.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    found ^= found >> np.uint64(29)
+    found *= np.uint64(0xBF58476D1CE4E5B9)
+    return found ^ (found >> np.uint64(32))
+
+
+def _sums(high: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of high * 2**31 + low over ranges, modulo the prime."""
+    running = np.zeros(len(high) + 1, np.uint64)
+    np.cumsum(high, out=running[1:])
+    upper = reduced(running[ends] - running[starts])
+    np.cumsum(low, out=running[1:])
+    return reduced(times(upper, np.uint64(1 << 31)) + reduced(running[ends] - running[starts]))
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of values[start:end] for each pair; values are hashes themselves."""
+    up, _ = powers(len(values) + 1)
+    terms = times(reduced(values), up[: len(values)])
+    return _finished(_sums(terms >> np.uint64(31), terms & _LOW31, starts, ends), starts, ends - starts)
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -24,7 +83,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return range_hashes(_byte_values()[data], starts, ends)
+    """A 64-bit hash of each word's bytes."""
+    up, _ = powers(len(data) + 1)
+    up = up[: len(data)]
+    values = data.astype(np.uint64) + np.uint64(1)
+    found = _finished(_sums(values * (up >> np.uint64(31)), values * (up & _LOW31), starts, ends), starts, ends - starts)
+    for i in np.flatnonzero(ends - starts > LONGEST_WORD).tolist():
+        found[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return found
 
 
 def mix(x: np.ndarray) -> np.ndarray:
