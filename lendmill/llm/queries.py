@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chunks, crf, curve, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
+from lendmill.llm import chunks, crf, curve, lines, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op12_common_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.kept_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_chunk_reuse": op2_chunk_reuse,
@@ -64,5 +68,6 @@ QUERIES: dict[str, Run] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_winnowed_repeats": op9_winnowed_repeats,
     "op10_quality_rules": op10_quality_rules,
+    "op12_common_lines": op12_common_lines,
 }
-SQL: dict[str, str] = {"op10_quality_rules": quality.sql()}
+SQL: dict[str, str] = {"op10_quality_rules": quality.sql(), "op12_common_lines": lines.sql()}
