@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chunks, crf, curve, lines, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
+from lendmill.llm import chunks, crf, curve, lines, manifest, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op12_common_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.kept_table(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_chunk_reuse": op2_chunk_reuse,
@@ -69,5 +73,6 @@ QUERIES: dict[str, Run] = {
     "op9_winnowed_repeats": op9_winnowed_repeats,
     "op10_quality_rules": op10_quality_rules,
     "op12_common_lines": op12_common_lines,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 SQL: dict[str, str] = {"op10_quality_rules": quality.sql(), "op12_common_lines": lines.sql()}
