@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chunks, crf, curve, lines, manifest, order_minhash, pii, quality, segments, tensor_minhash, wavelet, winnow
+from lendmill.llm import chunks, crf, curve, lines, manifest, order_minhash, pii, quality, segments, tensor_minhash, trie, wavelet, winnow
 from lendmill.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.proofs(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.node_table(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_hilbert_packing": op1_hilbert_packing,
     "op2_chunk_reuse": op2_chunk_reuse,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Run] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_winnowed_repeats": op9_winnowed_repeats,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_common_lines": op12_common_lines,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
