@@ -10,6 +10,7 @@ from lendmill.operators import gate as G
 from lendmill.operators.dedup import existing_keys
 from lendmill.plans.batch import settle
 from lendmill.sinks import layers as S
+from lendmill.sinks.ledger import load_judged, open_ledger
 from lendmill.sources import lake as L
 
 
@@ -59,6 +60,8 @@ def backfill(spark: SparkSession, lake: L.Lake, start: str, end: str, as_of, run
     )
     # Last, so that a run that dies before leaves rows too many and not too few.
     _drop_vanished(spark, lake, rebuilt, dates)
+    ledger = open_ledger(spark, lake)
+    ledger.enter(rebuilt.select(F.col("event_id").alias("key"), F.lit(G.ACCEPTED).alias("verdict")), "backfill", run_id, streamed=False)
     return sorted(dates)
 
 
@@ -85,10 +88,8 @@ def replay_quarantine(spark: SparkSession, lake: L.Lake, reasons: list[str], as_
     raw = L.quarantine(spark, lake, reasons)
     old_reason = raw.select(*S.ARRIVAL, F.col("quality_reason").alias("old_reason"))
     gated = settle(G.gate(raw.drop("quality_reason", "event_id"), as_of), lake.path("work", run_id, "gated"))
-    accepted = G.accepted(gated)
-    rows = accepted.count()
-    S.load_event_fact(spark, lake, accepted, rows)
-    S.load_typed_tables(spark, lake, accepted, rows)
+    # Held back by accepted events alone: these ids are known as failures.
+    load_judged(spark, lake, gated, "replay", run_id, blocking=[G.ACCEPTED], keep_failed=False)
     return (
         gated.join(old_reason, list(S.ARRIVAL))
         .groupBy("old_reason", "outcome")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from lendmill.operators import report as R
 from lendmill.plans import marts as M
 from lendmill.plans.staging import stage
 from lendmill.sinks import layers as S
+from lendmill.sinks.ledger import append_bronze, load_judged
 from lendmill.sources import lake as L
 
 
@@ -92,26 +94,21 @@ def run_batch(
     """Process raw records into the lake; returns the one-row business summary.
 
     ``raw`` holds raw_value and the ``order_by`` columns. Broker messages go to the
-    partitioned bronze and quarantine layers, plain lines to their text forms.
+    partitioned bronze and quarantine layers, plain lines to their text forms, in a folder of
+    the run. A run that is repeated under its id appends nothing again.
     """
     messages = "kafka_offset" in raw.columns
+    own = f"run={quote(run_id, safe='')}"
     if messages:
-        S.append(S.bronze_rows(raw), lake.bronze, S.BRONZE_PARTITIONS)
+        append_bronze(spark, lake, raw, "batch", run_id)
     else:
-        raw.select(F.rtrim("raw_value").alias("value")).write.mode("append").text(lake.bronze)
+        raw.select(F.rtrim("raw_value").alias("value")).write.mode("overwrite").text(f"{lake.bronze}/{own}")
 
     gated = settle(G.gate(raw, as_of, order_by), lake.path("work", run_id, "gated"))
     counts = settle(R.gate_counts(gated), lake.path("work", run_id, "counts"))
-    sizes = counts.first()
-    rows = sizes["accepted"]
-
-    accepted = G.accepted(gated)
-    S.load_event_fact(spark, lake, accepted, rows, order_by)
-    S.load_typed_tables(spark, lake, accepted, rows, order_by)
-    if messages:
-        S.load_quarantine(spark, lake, gated, sizes["quarantined"])
-    else:
-        S.quarantine_lines(gated).write.mode("append").json(lake.quarantine)
+    load_judged(spark, lake, gated, "batch", run_id, order_by)
+    if not messages:
+        S.quarantine_lines(gated).write.mode("overwrite").json(f"{lake.quarantine}/{own}")
     record_issues(gated, lake, run_id, as_of)
     record_run(spark, lake, run_id, "batch", as_of, as_of, "success", counts)
 

@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     # generate larger ones; with this limit Spark splits them instead of running them
     # interpreted, which is several times slower.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Batches of Arrow tasks are bounded by bytes besides rows: ten thousand long texts at
+    # once, with what is made from them, would set the memory of a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 

@@ -109,6 +109,10 @@ class Lake:
     def late(self) -> str:
         return self.path("late", "events")
 
+    @property
+    def missed(self) -> str:
+        return self.path("late", "missed")
+
     @property
     def issues(self) -> str:
         return self.path("observability", "quality_issues")
@@ -186,6 +190,11 @@ def warehouse_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return read_table(spark, lake.table(name), C.table_schema(name))
 
 
+def missed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Messages that no verdict was entered for, as ``plans.audit.collect_missed`` found them."""
+    return read_table(spark, lake.missed, BRONZE_SCHEMA).select(*BRONZE_SCHEMA.names)
+
+
 def quarantine(spark: SparkSession, lake: Lake, reasons: list[str] | None = None) -> DataFrame:
     """Quarantined records, optionally of some reasons (the partition column)."""
     rows = read_table(spark, lake.quarantine, QUARANTINE_SCHEMA)
