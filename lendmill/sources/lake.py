@@ -78,6 +78,19 @@ METRIC_SCHEMA = T.StructType(
     ]
 )
 
+LAG_SCHEMA = T.StructType(
+    [
+        T.StructField("minute", T.TimestampType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("country_code", T.StringType()),
+        T.StructField("lag", T.LongType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("query_name", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -129,6 +142,10 @@ class Lake:
     def metrics(self) -> str:
         return self.path("observability", "batch_metrics")
 
+    @property
+    def lags(self) -> str:
+        return self.path("observability", "lag_histogram")
+
     def table(self, name: str) -> str:
         return self.path("warehouse", name)
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from lendmill import functions as fn
 from lendmill.operators import checks as K
 from lendmill.operators import dedup as D
-from lendmill.operators import quantile
 from lendmill.operators.quantile import grouped_percentile
 from lendmill.plans import marts as M
 from lendmill.plans import serving as S
@@ -45,9 +44,13 @@ def test_existing_keys_by_broadcast_or_shuffle(spark, monkeypatch, limit):
     assert D.existing_keys(target, batch, ["k"], 10).count() == 5
 
 
-@pytest.mark.parametrize("small", [0, 100, 1 << 20])
-def test_grouped_percentile_equals_sorting(spark, monkeypatch, small):
-    monkeypatch.setattr(quantile, "SMALL_GROUP_ROWS", small)
+def test_percentile_scans_its_input_once(spark, tmp_path):
+    spark.range(100).selectExpr("id % 3 AS g", "id AS v").write.parquet(str(tmp_path / "t"))
+    plan = grouped_percentile(spark.read.parquet(str(tmp_path / "t")), ["g"], F.col("v"), 0.95, "total", "n", "q")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
+
+
+def test_grouped_percentile_equals_sorting(spark):
     rng = random.Random(7)
     rows = [("hot", rng.choice([rng.randrange(10), rng.randrange(1 << 22), rng.randrange(1 << 45)])) for _ in range(3000)]
     rows += [("one", 5)] + [("two", v) for v in (1, 1 << 41)] + [("same", 9)] * 50
