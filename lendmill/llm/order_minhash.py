@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lendmill.llm.common import text_rows, written
+from lendmill.llm.ranks import placed
 
 K, BINS = 3, 32
 #: Visible characters of a token at most: longer words (and scripts without spaces) are cut.
@@ -129,27 +130,22 @@ def followed(docs: DataFrame) -> DataFrame:
     lowest bucket has the highest of all). Columns: bucket, place, guest, doc_id, text."""
     rows = text_rows(docs).withColumn("place", F.coalesce("doc_id", F.lit(-(1 << 62)))).withColumn("bucket", F.floor(F.col("place") / NEIGHBOURS))
     tops = rows.groupBy("bucket").agg(F.max(F.struct("place", "text")).alias("top"))
-    # The next bucket that has rows: inside groups of buckets, then between the groups, of
-    # which there are one in 65,536 ids.
-    buckets = rows.select("bucket").distinct().withColumn("block", F.floor(F.col("bucket") / NEIGHBOURS))
-    blocks = buckets.groupBy("block").agg(F.min("bucket").alias("lowest"))
-    order = W.orderBy("block")
-    beyond = blocks.select(
-        "block", F.coalesce(F.lead("lowest").over(order), F.first("lowest").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("beyond")
-    )
-    above = buckets.withColumn("above", F.lead("bucket").over(W.partitionBy("block").orderBy("bucket"))).join(beyond, "block")
-    guests = tops.join(above.select("bucket", F.coalesce("above", "beyond").alias("next")), "bucket").select(
+    # The next bucket that has rows, by its place among all buckets.
+    buckets = placed(rows.select("bucket").distinct().withColumn("all", F.lit(0)), ["all"], ["bucket"], "buckets").select("bucket", "pos", "n")
+    above = buckets.select(F.pmod(F.col("pos") - 1, F.col("n")).alias("pos"), F.col("bucket").alias("next"))
+    guests = tops.join(buckets, "bucket").join(above, "pos").select(
         F.col("next").alias("bucket"), F.lit(None).cast("long").alias("place"), F.lit(True).alias("guest"), F.lit(None).cast("long").alias("doc_id"), F.col("top.text").alias("text")
     )
-    return rows.select("bucket", "place", F.lit(False).alias("guest"), "doc_id", "text").unionByName(guests)
+    everyone = rows.select("bucket", "place", F.lit(False).alias("guest"), "doc_id", "text").unionByName(written(guests, "guests"))
+    # Dealt here, so that the fingerprint is one step above the union and not one in each branch
+    # (a plan that takes minutes to optimize), and the windows find their rows in place.
+    return everyone.repartition("bucket")
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited form, whose last third is replaced by the
     beginning of the next document's text, with their likenesses."""
-    # Written first: carried through the union, the fingerprint's expressions make a plan that
-    # takes minutes to optimize.
-    printed = with_fingerprint(written(followed(docs), "followed"), "text", "fingerprint")
+    printed = with_fingerprint(followed(docs), "text", "fingerprint")
     order = W.partitionBy("bucket").orderBy(F.col("guest").desc(), "place", "text")
     pairs = printed.withColumn("__next", F.lag(F.struct("text", "fingerprint")).over(order)).filter(~F.col("guest"))
     cut = F.length("text") - F.floor(F.length("text") / 3)

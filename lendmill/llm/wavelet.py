@@ -27,6 +27,8 @@ from lendmill.llm import tokens
 from lendmill.llm.common import in_tasks, text_rows, work_dir
 
 SHARD_IDS = 1 << 20
+#: Documents of a shard that are handed on at a time.
+READ_DOCUMENTS = 2000
 #: Bits between two entries of a rank directory.
 BLOCK = 512
 
@@ -208,26 +210,28 @@ def placed(shards: DataFrame) -> DataFrame:
     return shards.join(F.broadcast(bases), "part").withColumn("base", F.col("part_base") + F.col("before")).drop("part_base")
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of documents of shards: doc_ids, their starts, their offsets within ``ids``, ids."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
+            ids = WaveletMatrix.from_bytes(one["matrix"]).ids().astype("<u4")
+            at = np.concatenate([[0], np.cumsum(np.array(one["sizes"], np.int64))])
+            for k in range(0, len(at) - 1, READ_DOCUMENTS):
+                stop = min(k + READ_DOCUMENTS, len(at) - 1)
+                yield one["docs"][k:stop], at[k:stop] + one["base"], at[k : stop + 1] - at[k], ids[at[k] : at[stop]]
+
+
 def read_documents(shards: DataFrame) -> DataFrame:
     """Every document from its shard: doc_id, start, n_tokens, ids."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                ids = WaveletMatrix.from_bytes(one["matrix"]).ids().astype("<u4")
-                sizes = np.array(one["sizes"], np.int64)
-                at = np.concatenate([[0], np.cumsum(sizes)])
-                step = 2000
-                for k in range(0, len(sizes), step):
-                    stop = min(k + step, len(sizes))
-                    raw = pa.py_buffer(ids[at[k] : at[stop]].tobytes())
-                    offsets = pa.py_buffer(((at[k : stop + 1] - at[k]) * 4).astype(np.int32).tobytes())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(one["docs"][k:stop], pa.int64()), pa.array(at[k:stop] + one["base"]), pa.array(sizes[k:stop]),
-                         pa.BinaryArray.from_buffers(pa.binary(), stop - k, [None, offsets, raw])],
-                        names=["doc_id", "start", "n_tokens", "ids"],
-                    )
+        for docs, starts, at, ids in _documents(batches):
+            raw, offsets = pa.py_buffer(ids.tobytes()), pa.py_buffer((at * 4).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.int64()), pa.array(starts), pa.array(np.diff(at)), pa.BinaryArray.from_buffers(pa.binary(), len(docs), [None, offsets, raw])],
+                names=["doc_id", "start", "n_tokens", "ids"],
+            )
 
     return in_tasks(placed(shards), read, "doc_id long, start long, n_tokens long, ids binary")
 
@@ -267,11 +271,12 @@ def document_table(spark: SparkSession, docs: DataFrame, tokenizer_path: str, en
     """Write shards to the working folder, read them back, and digest each document."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, at = tokens.buffers(batch.column("ids"))
-            raw = memoryview(data)
-            crc = [zlib.crc32(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        for names, starts, at, ids in _documents(batches):
+            raw, cuts = memoryview(ids).cast("B"), (at * 4).tolist()
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(starts), pa.array(np.diff(at)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
+            )
 
     shards = write_shards(docs, work_dir(spark, "wavelet"), tokenizer_path, end_id)
-    return in_tasks(read_documents(shards), digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return in_tasks(placed(shards), digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
