@@ -40,6 +40,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             while len(found) < max(n, 1 << 21):
                 found = np.concatenate([found, times(found, np.uint64(pow(base, len(found), PRIME)))])
             _POWERS[name] = found
+        # For bytes the two parts of a power are multiplied by themselves.
+        _POWERS["high"], _POWERS["low"] = _POWERS["up"] >> np.uint64(31), _POWERS["up"] & _LOW31
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
@@ -84,10 +86,10 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
-    up, _ = powers(len(data) + 1)
-    up = up[: len(data)]
-    values = data.astype(np.uint64) + np.uint64(1)
-    found = _finished(_sums(values * (up >> np.uint64(31)), values * (up & _LOW31), starts, ends), starts, ends - starts)
+    powers(len(data) + 1)
+    values = data.astype(np.uint64)
+    values += np.uint64(1)
+    found = _finished(_sums(values * _POWERS["high"][: len(data)], values * _POWERS["low"][: len(data)], starts, ends), starts, ends - starts)
     for i in np.flatnonzero(ends - starts > LONGEST_WORD).tolist():
         found[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     return found
