@@ -11,14 +11,15 @@ joined in page order.
 
 Defined cases: null and empty html, and pages without text, give an empty text; broken
 markup is read as far as it goes; script, style, comments and the head have no text; repeated
-rows are treated alike; other columns are ignored; without pages to learn from, the built
-layouts alone train the field.
+rows are treated alike (of pages with one id, one may train the field); other columns are
+ignored; without pages to learn from, the built layouts alone train the field.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -54,6 +55,31 @@ class Block:
     label: int | None = None
 
 
+@dataclass(frozen=True)
+class Open:
+    """An open element, with what its ancestors and itself give to the blocks in it; an element
+    that adds nothing shares the features of its parent."""
+
+    tag: str
+    #: The innermost mark.
+    mark: str | None = None
+    above: frozenset[str] = frozenset()
+    ordered: tuple[str, ...] = ()
+    #: The innermost block-level tag.
+    block: str = "none"
+
+    def inside(self, tag: str, names: list[str], mark: str | None) -> Open:
+        own = [*names, f"in:{tag}"] if tag in BLOCK else names
+        above, ordered = self.above, self.ordered
+        if not above.issuperset(own):
+            above = above.union(own)
+            ordered = tuple(sorted(above))
+        return Open(tag, self.mark if mark is None else mark, above, ordered, tag if tag in BLOCK else self.block)
+
+
+OUTSIDE = Open("")
+
+
 class Leaves(HTMLParser):
     """Collects leaf blocks with their features."""
 
@@ -62,7 +88,8 @@ class Leaves(HTMLParser):
         ``data-main``."""
         super().__init__(convert_charrefs=True)
         self.learn = learn
-        self.stack: list[tuple[str, list[str], str | None]] = []
+        self.stack: list[Open] = []
+        self.opened: Counter[str] = Counter()
         self.parts: list[str] = []
         self.linked = self.total = 0
         self.silent = 0
@@ -79,29 +106,26 @@ class Leaves(HTMLParser):
             self.blocks.append(Block(text, self._features(text), self._label()))
         self.parts, self.linked, self.total = [], 0, 0
 
+    @property
+    def here(self) -> Open:
+        return self.stack[-1] if self.stack else OUTSIDE
+
     def _label(self) -> int | None:
-        for _, _, mark in reversed(self.stack):
-            if mark is not None:
-                return int(mark)
-        return None
+        return None if self.here.mark is None else int(self.here.mark)
 
     def _learned(self, tag: str, attrs: list[tuple[str, str | None]]) -> str | None:
         """The mark of an element of a real page: the outermost article or main is the main part,
         elements below it that are named as something beside it are not."""
-        inside = any(mark is not None for _, _, mark in self.stack)
-        if not inside:
+        if self.here.mark is None:
             return "1" if tag in ("article", "main") else None
         return "0" if tag in ASIDE or any(key in ("class", "id", "role") and value and any(map(is_beside, value.lower().split())) for key, value in attrs) else None
 
     def _features(self, text: str) -> list[str]:
-        above = {f"in:{tag}" for tag, _, _ in self.stack if tag in BLOCK}
-        for _, names, _ in self.stack:
-            above.update(names)
-        near = next((tag for tag, _, _ in reversed(self.stack) if tag in BLOCK), "none")
+        near = self.here.block
         n = text.count(" ") + 1
         size = "1" if n == 1 else "few" if n < 6 else "some" if n < 20 else "many"
         links = "all" if self.linked > 0.8 * self.total else "part" if self.linked else "none"
-        found = [*sorted(above), f"at:{near}", f"words:{size}", f"links:{links}", f"at:{near},words:{size}", f"stop:{text[-1] in '.!?…'}"]
+        found = [*self.here.ordered, f"at:{near}", f"words:{size}", f"links:{links}", f"at:{near},words:{size}", f"stop:{text[-1] in '.!?…'}"]
         if "©" in text:
             found.append("copyright")
         return found
@@ -124,7 +148,8 @@ class Leaves(HTMLParser):
                 mark = value
         if self.learn:
             mark = self._learned(tag, attrs)
-        self.stack.append((tag, names, mark))
+        self.stack.append(self.here.inside(tag, names, mark))
+        self.opened[tag] += 1
         if tag in SILENT:
             self.silent += 1
 
@@ -136,19 +161,17 @@ class Leaves(HTMLParser):
 
     def _close_head(self, tag: str | None) -> None:
         """Before a start tag that is no element of the head, or text: end the head."""
-        if not self.silent:
+        if not self.silent or not self.opened["head"]:
             return
-        k = next((i for i, (name, _, _) in enumerate(self.stack) if name == "head"), None)
-        if k is None:
-            return
-        inner = {name for name, _, _ in self.stack[k + 1 :]} - {"head"}
+        k = next(i for i, element in enumerate(self.stack) if element.tag == "head")
+        inner = {element.tag for element in self.stack[k + 1 :]} - {"head"}
         if not inner or tag == "body" or (tag in BLOCK and inner == {"title"}):
             self._pop_to(k)
 
     def _close_open(self, tag: str) -> None:
         ends = {"p"} | ENDS_BY_NEXT.get(tag, set())
         for k in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[k][0]
+            name = self.stack[k].tag
             if name in ends:
                 self._pop_to(k)
                 return
@@ -156,16 +179,19 @@ class Leaves(HTMLParser):
                 return
 
     def _pop_to(self, k: int) -> None:
-        for tag, _, _ in self.stack[k:]:
-            if tag in SILENT:
+        for element in self.stack[k:]:
+            self.opened[element.tag] -= 1
+            if element.tag in SILENT:
                 self.silent -= 1
         del self.stack[k:]
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
+        if not self.opened[tag]:
+            return
         for k in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[k][0]
+            name = self.stack[k].tag
             if name == tag:
                 self._pop_to(k)
                 return
@@ -180,7 +206,7 @@ class Leaves(HTMLParser):
         self.parts.append(data)
         n = len(data.strip())
         self.total += n
-        if any(tag == "a" for tag, _, _ in self.stack[-4:]):
+        if self.opened["a"]:
             self.linked += n
 
 
@@ -335,8 +361,11 @@ def built_page(paragraphs: list[str], draw: random.Random) -> str:
 
 
 def train(pages: DataFrame, html_col: str = "html") -> Field:
-    key = F.xxhash64("page_id")
-    chosen = pages.filter(F.col(html_col).isNotNull()).select("page_id", F.col(html_col).alias("html")).orderBy(key, "page_id").limit(TRAIN_PAGES).collect()  # bounded
+    """The field of the given pages. Ids are drawn first, then one page of each is read, so that
+    nothing but the sample reaches the driver; a page without an id is not drawn."""
+    known = pages.select("page_id", F.col(html_col).alias("html")).filter("page_id IS NOT NULL AND html IS NOT NULL")
+    ids = [row[0] for row in known.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_PAGES).collect()]
+    chosen = known.filter(F.col("page_id").isin(ids)).groupBy("page_id").agg(F.min("html").alias("html")).orderBy(F.xxhash64("page_id"), "page_id").collect() if ids else []
     draw, chains = random.Random(17), []
     for row in chosen or [None] * 40:
         blocks = leaf_blocks(row["html"], learn=True) if row else []

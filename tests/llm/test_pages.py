@@ -1,7 +1,10 @@
 """Main text of pages, and the pipeline, on small tables."""
 
+import itertools
 import random
 
+import numpy as np
+
 from lendmill.llm import crf
 
 PAGE = '<html><head><title>T</title></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><article><h1>A&amp;B</h1><p>First  line\n here.<p>Second&nbsp;one.</article><footer>&copy; us</footer>'
@@ -69,6 +72,38 @@ def test_other_layouts():
     assert right >= 45
 
 
+def test_viterbi_against_enumeration():
+    draw = np.random.default_rng(4)
+    for n in (1, 2, 5, 9):
+        field = crf.Field({f"f{i}": i for i in range(n)}, draw.normal(size=(n, 2)), draw.normal(size=(2, 2)))
+        blocks = [crf.Block("", [f"f{i}", f"f{(i * 3) % n}", "unknown"]) for i in range(n)]
+        emit = field.scores(blocks)
+
+        def value(labels):
+            return sum(emit[i, x] for i, x in enumerate(labels)) + sum(field.move[x, y] for x, y in itertools.pairwise(labels))
+
+        assert tuple(field.decode(blocks)) == max(itertools.product((0, 1), repeat=n), key=value)
+
+
+def test_deep_pages_and_links_far_above():
+    # A walk over all open elements for each block would take minutes.
+    deep = crf.leaf_blocks('<div class="a">text ' * 30_000)
+    assert len(deep) == 30_000 and deep[-1].features[:3] == ["in:div", "named:a", "at:div"]
+    many = crf.leaf_blocks("<p>text</i></div>" * 30_000)
+    assert len(many) == 30_000
+    far = crf.leaf_blocks("<a href=x><b><i><u><em><span>far</span></em></u></i></b></a> near")
+    assert "links:part" in far[0].features
+
+
+def test_training_sample_has_one_page_of_each_id(spark):
+    # One id with most rows is one page of the sample, and rows without an id are none.
+    rows = [(1, PAGE)] * 300 + [(1, PAGE.replace("First", "Other"))] * 300 + [(i, PAGE) for i in range(2, 40)] + [(None, PAGE)] * 50 + [(99, None)]
+    frame = spark.createDataFrame(rows, "page_id long, html string").repartition(7)
+    once = spark.createDataFrame([(i, PAGE) for i in range(1, 40)], "page_id long, html string")
+    fields = [crf.train(f) for f in (frame, once)]
+    assert fields[0].index == fields[1].index and np.array_equal(fields[0].emit, fields[1].emit)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
