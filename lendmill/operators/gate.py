@@ -213,6 +213,8 @@ def reason_sql() -> str:
         ("missing_customer_id", "customer_id IS NULL"),
         ("missing_country", "country_code IS NULL"),
         ("missing_occurred_at", "__text_occurred_at IS NULL"),
+        # Alone this is a business failure, which is named after the first arrival is chosen.
+        ("invalid_event_time", "contract_codes <> '' AND ingested_at < occurred_at"),
         ("invalid_transaction_amount", "event_type = 'mobile_money_transaction' AND coalesce(payload.amount, 0) <= 0"),
         ("invalid_requested_amount", "event_type = 'loan_application' AND coalesce(payload.requested_amount, 0) <= 0"),
         (CONTRACT_RULE, "contract_codes <> ''"),

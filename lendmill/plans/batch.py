@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-from urllib.parse import quote
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from lendmill.operators import report as R
 from lendmill.plans import marts as M
 from lendmill.plans.staging import stage
 from lendmill.sinks import layers as S
+from lendmill.sinks.commits import Folder
 from lendmill.sinks.ledger import append_bronze, load_judged
 from lendmill.sources import lake as L
 
@@ -31,8 +35,9 @@ def record_run(
     counts: DataFrame | None = None,
     metadata: dict | None = None,
 ) -> None:
-    """Write one audit row, in place of the run's earlier row of that status. ``counts`` is
-    one row with received, accepted, quarantined."""
+    """Write the audit row of a run, in place of its earlier ones. ``counts`` is one row with
+    received, accepted, quarantined. The new row is there before the others go; of two rows of
+    one run that a crash leaves, ``latest_run`` and ``published_run`` take the finished one."""
     if counts is None:
         counts = spark.range(1).select(
             *[F.lit(None).cast("bigint").alias(c) for c in ("received", "accepted", "quarantined")]
@@ -49,16 +54,52 @@ def record_run(
         F.lit(json.dumps(metadata or {}, sort_keys=True)).alias("metadata"),
     )
     S.replace(row.coalesce(1), lake.runs, ["pipeline_name", "run_id", "status"])
+    folder = Folder(spark, lake.runs)
+    for pipeline in folder.names():
+        for run in folder.names(pipeline) if unquote(pipeline) == f"pipeline_name={pipeline_name}" else ():
+            for old in folder.names(f"{pipeline}/{run}") if unquote(run) == f"run_id={run_id}" else ():
+                if old.startswith("status=") and unquote(old) != f"status={status}":
+                    folder.delete(f"{pipeline}/{run}/{old}")
+
+
+def wall_clock() -> str:
+    return datetime.now(UTC).isoformat()
+
+
+@dataclass
+class Run:
+    """What a run reports when it ends."""
+
+    started_at: str
+    counts: DataFrame | None = None
+    metadata: dict = field(default_factory=dict)
+
+
+@contextmanager
+def audited(spark: SparkSession, lake: L.Lake, run_id: str, pipeline_name: str, clock: Callable[[], str] = wall_clock) -> Iterator[Run]:
+    """A run with its audit row: ``running`` from the start, then ``success``, or ``failed`` with
+    the error when its body raises. Times are those of the clock. A row that stays ``running``
+    is of a driver that was lost."""
+    run = Run(clock())
+    record_run(spark, lake, run_id, pipeline_name, run.started_at, None, "running")
+    try:
+        yield run
+    except Exception as error:
+        metadata = {"error": type(error).__name__, "message": str(error)[:500], **run.metadata}
+        record_run(spark, lake, run_id, pipeline_name, run.started_at, clock(), "failed", run.counts, metadata)
+        raise
+    record_run(spark, lake, run_id, pipeline_name, run.started_at, clock(), "success", run.counts, run.metadata)
 
 
 def record_checks(results: DataFrame, lake: L.Lake, run_id: str, checked_at) -> None:
-    """Append check results."""
-    results.select(
+    """Write check results of a run, in place of its earlier ones on these data sets."""
+    rows = results.select(
         F.lit(run_id).alias("run_id"),
         instant(checked_at).alias("checked_at"),
         "dataset_name", "rule_name", "status", "observed_value", "threshold_value",
         F.lit("{}").alias("details"),
-    ).write.mode("append").parquet(lake.checks)
+    )
+    S.replace(rows.coalesce(1), lake.checks, ["run_id", "dataset_name"])
 
 
 def record_issues(gated: DataFrame, lake: L.Lake, run_id: str, recorded_at) -> None:
@@ -90,13 +131,20 @@ def run_batch(
     as_of,
     run_id: str,
     order_by: Sequence[str] = S.ARRIVAL,
+    clock: Callable[[], str] = wall_clock,
 ) -> DataFrame:
     """Process raw records into the lake; returns the one-row business summary.
 
     ``raw`` holds raw_value and the ``order_by`` columns. Broker messages go to the
     partitioned bronze and quarantine layers, plain lines to their text forms, in a folder of
-    the run. A run that is repeated under its id appends nothing again.
+    the run. A run that is repeated under its id appends nothing again. The audit row tells
+    that a run goes on, ended or failed, with the times of ``clock``.
     """
+    with audited(spark, lake, run_id, "batch", clock) as run:
+        return _run_batch(spark, lake, raw, as_of, run_id, order_by, run)
+
+
+def _run_batch(spark: SparkSession, lake: L.Lake, raw: DataFrame, as_of, run_id: str, order_by: Sequence[str], run: Run) -> DataFrame:
     messages = "kafka_offset" in raw.columns
     own = f"run={quote(run_id, safe='')}"
     if messages:
@@ -105,12 +153,11 @@ def run_batch(
         raw.select(F.rtrim("raw_value").alias("value")).write.mode("overwrite").text(f"{lake.bronze}/{own}")
 
     gated = settle(G.gate(raw, as_of, order_by), lake.path("work", run_id, "gated"))
-    counts = settle(R.gate_counts(gated), lake.path("work", run_id, "counts"))
+    run.counts = settle(R.gate_counts(gated), lake.path("work", run_id, "counts"))
     load_judged(spark, lake, gated, "batch", run_id, order_by)
     if not messages:
         S.quarantine_lines(gated).write.mode("overwrite").json(f"{lake.quarantine}/{own}")
     record_issues(gated, lake, run_id, as_of)
-    record_run(spark, lake, run_id, "batch", as_of, as_of, "success", counts)
 
     R.quality_report(gated, list(order_by), as_of).coalesce(1).write.mode("overwrite").json(
         lake.path("reports", run_id, "quality_report")

@@ -1,19 +1,22 @@
 """Gated publication of the marts.
 
 Gates, then build, then data tests, then audit. A run writes its marts to folders of
-its own; the success row in the audit table is what makes them visible. A failure at
-any step leaves the previous publication in place, and no folder that a plan reads is
-ever overwritten.
+its own; the success row in the audit table is what makes them visible, and its time of
+completion, by the clock, orders publications. A failure at any step leaves the previous
+publication in place. The id of a run that was published is refused, so no folder that a
+plan reads is ever overwritten; a run that failed may be repeated under its id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.operators import checks as K
 from lendmill.plans import marts as M
-from lendmill.plans.batch import portfolio_of, record_checks, record_run
+from lendmill.plans.batch import Run, audited, portfolio_of, record_checks, wall_clock
 from lendmill.sources import lake as L
 
 PUBLICATION = "daily_portfolio"
@@ -23,18 +26,22 @@ class GateFailed(RuntimeError):
     """A gate or data test did not pass; nothing was published."""
 
 
+class AlreadyPublished(RuntimeError):
+    """The run id names a publication that readers may have open."""
+
+
 def _mart_path(lake: L.Lake, name: str, run_id: str) -> str:
     return f"{lake.mart(name)}/run_id={run_id}"
 
 
-def _require(spark: SparkSession, results: DataFrame, lake: L.Lake, run_id: str, as_of) -> None:
+def _require(spark: SparkSession, results: DataFrame, lake: L.Lake, run_id: str, as_of, run: Run) -> None:
     """Record results and stop the run unless all pass (a handful of rows)."""
     rows = results.collect()
     frame = spark.createDataFrame(rows, results.schema)
     record_checks(frame, lake, run_id, as_of)
     failed = [f"{r['dataset_name']}.{r['rule_name']}={r['observed_value']}" for r in rows if r["status"] == "fail"]
     if failed:
-        record_run(spark, lake, run_id, PUBLICATION, as_of, as_of, "failed", metadata={"failed": failed})
+        run.metadata["failed"] = failed
         raise GateFailed("; ".join(failed))
 
 
@@ -46,9 +53,20 @@ def publish(
     as_of,
     run_id: str,
     statistics: bool = False,
+    clock: Callable[[], str] = wall_clock,
 ) -> None:
     """Build, test and publish the marts from staged ``tables`` and the event fact."""
-    _require(spark, K.stack([K.freshness_gate(events, as_of), K.volume_gate(events, as_of)]), lake, run_id, as_of)
+    if _publications(spark, lake).filter(F.col("run_id") == run_id).limit(1).count():
+        raise AlreadyPublished(run_id)
+    with audited(spark, lake, run_id, PUBLICATION, clock) as run:
+        _publish(spark, lake, events, tables, as_of, run_id, run)
+    if statistics:
+        for name in ("fct_credit_portfolio", "dim_customer_features"):
+            analyze(spark, f"{name}_{run_id.replace('-', '_')}", _mart_path(lake, name, run_id))
+
+
+def _publish(spark: SparkSession, lake: L.Lake, events: DataFrame, tables: dict[str, DataFrame], as_of, run_id: str, run: Run) -> None:
+    _require(spark, K.stack([K.freshness_gate(events, as_of), K.volume_gate(events, as_of)]), lake, run_id, as_of, run)
 
     def materialise(name: str, df: DataFrame) -> DataFrame:
         path = _mart_path(lake, name, run_id)
@@ -72,23 +90,18 @@ def publish(
             K.country_tests(countries),
         ]
     )
-    _require(spark, tests, lake, run_id, as_of)
-    manifest = {"checks": ["streaming_freshness", "source_volume", "data_tests"], "status": "passed", "as_of": str(as_of)}
-    record_run(spark, lake, run_id, PUBLICATION, as_of, as_of, "success", metadata=manifest)
-    if statistics:
-        for name in ("fct_credit_portfolio", "dim_customer_features"):
-            analyze(spark, f"{name}_{run_id.replace('-', '_')}", _mart_path(lake, name, run_id))
+    _require(spark, tests, lake, run_id, as_of, run)
+    run.metadata.update(checks=["streaming_freshness", "source_volume", "data_tests"], status="passed", as_of=str(as_of))
 
 
-def published_run(spark: SparkSession, lake: L.Lake) -> str | None:
-    """Id of the newest successful publication."""
+def _publications(spark: SparkSession, lake: L.Lake) -> DataFrame:
     runs = L.read_table(spark, lake.runs, L.RUN_SCHEMA)
-    newest = (
-        runs.filter((F.col("pipeline_name") == PUBLICATION) & (F.col("status") == "success"))
-        .orderBy(F.desc("completed_at"), F.desc("run_id"))
-        .select("run_id")
-        .first()
-    )
+    return runs.filter((F.col("pipeline_name") == PUBLICATION) & (F.col("status") == "success"))
+
+
+def published_run(spark: SparkSession, lake: L.Lake) -> str | None:
+    """Id of the publication that was completed last."""
+    newest = _publications(spark, lake).orderBy(F.desc("completed_at"), F.desc("started_at"), F.desc("run_id")).select("run_id").first()
     return newest[0] if newest else None
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from lendmill import contract as C
@@ -76,7 +78,43 @@ _LINE_ID = "'{0}' || CAST(application_id AS VARCHAR) || strftime({1}, '%Y-%m-%d
 _APPLICATION = uuid_sql("'application' || CAST(application_id AS VARCHAR)")
 _OWNER = uuid_sql("CAST(customer_id AS VARCHAR)")
 
+# Faults in the order of their reasons, each a change of a valid message of a transaction.
+_FAULTS = {
+    "missing_event_id": ('"event_id":"[^"]*",', ""),
+    "unsupported_schema_version": ('"schema_version":"1.0"', '"schema_version":"2.0"'),
+    "unknown_event_type": ('^(.*?)"event_type":"mobile_money_transaction"', '$1"event_type":"refund"'),
+    "payload_type_mismatch": ('"payload":\\{"event_type":"[a-z_]*"', '"payload":{"event_type":"device_signal"'),
+    "missing_customer_id": ('"customer_id":"[^"]*",', ""),
+    "missing_country": ('"country_code":"[^"]*",', ""),
+    "missing_occurred_at": ('"occurred_at":"[^"]*",', ""),
+    "invalid_event_time": ('"ingested_at":"[^"]*"', '"ingested_at":"2000-01-01T00:00:00.000Z"'),
+    "invalid_transaction_amount": ('"amount":[-0-9.Ee]+', '"amount":0.0'),
+}
+_PAIRS = list(itertools.combinations(_FAULTS, 2))
+
+
+def _two_faults(spark, sf):
+    """Every transaction with two faults, the pair by its id."""
+    messages = decode(V.event_messages(spark, sf)).filter(F.col("raw_value").contains('"transaction_type"'))
+    messages = messages.withColumn("pair", (F.floor(F.col("kafka_offset") / 4) % len(_PAIRS)).cast("int"))
+    value = F.col("raw_value")
+    for side in (0, 1):
+        pattern, put = (F.element_at(F.array(*[F.lit(_FAULTS[pair[side]][i]) for pair in _PAIRS]), F.col("pair") + 1) for i in (0, 1))
+        value = F.regexp_replace(value, pattern, put)
+    gated = G.gate(messages.withColumn("raw_value", value).drop("pair"), V.AS_OF)
+    pair = (F.floor(F.col("kafka_offset") / 4) % len(_PAIRS)).cast("int").alias("pair")
+    return gated.groupBy(pair, "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 QUERIES: dict[str, Query] = {
+    "first_of_two_reasons": Query(
+        _two_faults,
+        sql(
+            f"""SELECT CAST(event_id % {len(_PAIRS)} AS INTEGER) AS pair, list_extract([{', '.join(f"'{a}'" for a, _ in _PAIRS)}], CAST(event_id % {len(_PAIRS)} AS INTEGER) + 1) AS reason,
+                  CAST(sum(sent) AS BIGINT) AS records FROM judged WHERE kind = 'mobile_money_transaction' GROUP BY 1, 2""",
+            "judged",
+        ),
+    ),
     "gate_outcomes": Query(
         lambda spark, sf: _gated(spark, sf)
         .groupBy("outcome", F.coalesce("reason", F.lit("none")).alias("reason"))

@@ -153,6 +153,23 @@ def _published(spark, sf, mart):
     return lake, U.published(spark, lake, mart)
 
 
+def _two_publications(spark, sf):
+    """Two publications for one time of data: the first of all applications, the one completed last
+    of nano loans. Returns what readers see, with the two runs as audited."""
+    d = Domain(spark, sf, True)
+    lake = _lake(spark, "twice")
+    tables = {
+        "customers": d.customers, "gsm_usage": d.gsm, "mobile_money_transactions": d.money,
+        "loan_applications": d.applications, "loan_decisions": d.decisions, "repayments": d.repayments,
+    }
+    U.publish(spark, lake, d.events, tables, V.AS_OF, "run_9", clock=iter(["2024-02-01 10:00:00", "2024-02-01 10:05:00"]).__next__)
+    nano = {**tables, "loan_applications": d.applications.filter("product_code = 'nano'")}
+    U.publish(spark, lake, d.events, nano, V.AS_OF, "run_10", clock=iter(["2024-02-01 10:10:00", "2024-02-01 10:20:00"]).__next__)
+    seen = U.published(spark, lake, "fct_credit_portfolio").count()
+    runs = L.read_table(spark, lake.runs, L.RUN_SCHEMA).select("run_id", "status", "started_at", "completed_at")
+    return portable(runs.withColumn("visible", F.lit(seen).cast("bigint")))
+
+
 def _quality_status(spark, sf):
     lake, _ = _published(spark, sf, "fct_credit_portfolio")
     checks = V2.recent_checks(L.read_table(spark, lake.checks, L.CHECK_SCHEMA))
@@ -268,6 +285,15 @@ QUERIES: dict[str, Query] = {
         lambda spark, sf: portable(_published(spark, sf, "mart_country_performance")[1]),
         MARTS["country_performance"].sql,
     ),
+    "latest_of_two_publications": Query(
+        _two_publications,
+        sql(
+            """SELECT r.*, (SELECT count(*) FROM applications WHERE product_code = 'nano') AS visible FROM (VALUES
+                 ('run_9', 'success', TIMESTAMP '2024-02-01 10:00:00', TIMESTAMP '2024-02-01 10:05:00'),
+                 ('run_10', 'success', TIMESTAMP '2024-02-01 10:10:00', TIMESTAMP '2024-02-01 10:20:00')) AS r(run_id, status, started_at, completed_at)""",
+            "applications",
+        ),
+    ),
     "quality_status": Query(
         _quality_status,
         """SELECT * FROM (VALUES ('event_fact', 'pass', CAST(2 AS BIGINT)), ('fct_credit_portfolio', 'pass', 7), ('dim_customer_features', 'pass', 3),

@@ -47,6 +47,7 @@ CASES = {
     "negative request": (event(52, "loan_application", {"requested_amount": -1}), "invalid_requested_amount", "payload.requested_amount:range"),
     "other term": (event(53, "loan_application", {"term_days": 31}), "schema_contract", "payload.term_days:choice"),
     "before ingestion": (event(54, ingested_at="2026-01-01T09:59:59Z"), "invalid_event_time", ""),
+    "before ingestion, zero amount": (event(90, "mobile_money_transaction", {"amount": 0}, ingested_at="2026-01-01T09:59:59Z"), "invalid_event_time", "payload.amount:range"),
     "inconsistent status": (event(55, "repayment", {"payment_status": "late"}), "business_rule", ""),
     "declined with amount": (event(56, "loan_decision", {"decision": "declined"}), "business_rule", ""),
     "future": (event(57, occurred_at="2026-02-01T00:06:00Z", ingested_at="2026-02-01T00:00:00Z"), "invalid_event_time", ""),

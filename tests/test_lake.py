@@ -172,6 +172,32 @@ def test_publication_is_gated_and_keeps_the_last_good_run(spark, lake):
     assert checks.filter("run_id = 'run_1' AND status = 'pass'").count() == 14
     assert checks.filter("run_id = 'run_3' AND status = 'fail'").count() == 1
 
+    # A failed run may come again under its id, a published one may not.
+    U.publish(spark, lake, events, _tables(spark, lake), now, "run_2")
+    assert U.published_run(spark, lake) == "run_2"
+    with pytest.raises(U.AlreadyPublished):
+        U.publish(spark, lake, events, _tables(spark, lake), now, "run_1")
+
+
+def test_runs_are_audited_from_start_to_end(spark, lake):
+    clock = iter(f"2026-01-01 11:00:0{i}" for i in range(9)).__next__
+
+    def runs():
+        rows = L.read_table(spark, lake.runs, L.RUN_SCHEMA).collect()
+        return {r["run_id"]: (r["status"], r["started_at"].second, r["completed_at"] and r["completed_at"].second) for r in rows}
+
+    with P.audited(spark, lake, "a/1", "batch", clock):
+        assert runs() == {"a/1": ("running", 0, None)}
+    with pytest.raises(ZeroDivisionError), P.audited(spark, lake, "b", "batch", clock):
+        1 / 0  # noqa: B018
+    assert runs() == {"a/1": ("success", 0, 1), "b": ("failed", 2, 3)}
+    with P.audited(spark, lake, "b", "batch", clock):
+        pass
+    assert runs()["b"] == ("success", 4, 5) and len(runs()) == 2
+    with pytest.raises(Exception, match="column"):
+        P.run_batch(spark, lake, raw(spark, a_day(1)).drop("raw_value"), AS_OF, "dies", clock=clock)
+    assert runs()["dies"] == ("failed", 6, 7)
+
 
 def test_nothing_published(spark, lake):
     with pytest.raises(U.GateFailed):
