@@ -30,6 +30,7 @@ smallest id that is not null; repeated rows are linked; other columns are ignore
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -59,6 +60,7 @@ def _parameters() -> tuple[np.ndarray, np.ndarray]:
     return draw[0] | np.uint64(1), draw[1]
 
 
+@functools.cache
 def _bin_orders() -> np.ndarray:
     """For each bin all bins in the order in which it looks for a filled one."""
     return np.argsort(np.random.default_rng(6).random((SKETCH_BITS, SKETCH_BITS)), axis=1).astype(np.uint16)
