@@ -52,7 +52,7 @@ def _slo(spark, sf):
     events = Domain(spark, sf).events
     age = S.ingestion_summary(events, V.AS_OF).select(F.col("latest_event_age_seconds").alias("event_age_seconds"))
     lag = S.event_throughput(events).agg(F.max("p95_lag_seconds").alias("p95_lag_seconds"))
-    counts = R.gate_counts(_gated(spark, sf)).select(
+    counts = R.gate_counts(_gated(spark, sf, *R.COUNTED)).select(
         (F.col("acceptance_rate") * 100).alias("acceptance_pct"),
         (F.col("quarantined") / F.col("received")).alias("quarantine_rate"),
     )
@@ -168,7 +168,7 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "row_reconciliation": Query(
-        lambda spark, sf: K.reconcile(R.gate_counts(_gated(spark, sf))),
+        lambda spark, sf: K.reconcile(R.gate_counts(_gated(spark, sf, *R.COUNTED))),
         _results(("event_fact", "row_reconciliation", "SELECT 0", 0)),
     ),
     "domain_coherence": Query(
