@@ -41,7 +41,7 @@ def backfill(spark: SparkSession, lake: L.Lake, start: str, end: str, as_of, run
     wanted = F.col("event_date").isin(*[F.lit(d).cast("date") for d in dates])
     raw = _event_date(L.bronze(spark, lake)).filter(wanted).drop("event_date", "ingestion_date")
 
-    gated = settle(G.gate(raw, as_of), lake.path("work", run_id, "gated"))
+    gated = settle(G.gate(raw, as_of, columns=S.fact_columns()), lake.path("work", run_id, "gated"))
     rows = S.event_fact_rows(G.accepted(gated)).select(*C.EVENT_FACT_COLUMNS)
     silver = L.read_or_none(spark, lake.silver, C.event_fact_schema())
     if silver is not None:
@@ -87,7 +87,9 @@ def replay_quarantine(spark: SparkSession, lake: L.Lake, reasons: list[str], as_
     they are. Returns outcome counts per reason."""
     raw = L.quarantine(spark, lake, reasons)
     old_reason = raw.select(*S.ARRIVAL, F.col("quality_reason").alias("old_reason"))
-    gated = settle(G.gate(raw.drop("quality_reason", "event_id"), as_of), lake.path("work", run_id, "gated"))
+    # Failing records stay where they are, so their texts are not needed again.
+    wanted = [*S.fact_columns(), "contract_codes", *S.ARRIVAL]
+    gated = settle(G.gate(raw.drop("quality_reason", "event_id"), as_of, columns=wanted), lake.path("work", run_id, "gated"))
     # Held back by accepted events alone: these ids are known as failures.
     load_judged(spark, lake, gated, "replay", run_id, blocking=[G.ACCEPTED], keep_failed=False)
     return (

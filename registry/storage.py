@@ -183,7 +183,7 @@ def _backfill(spark, sf):
     """Silver is filled, then the dates of a week of ingestion are rebuilt from bronze."""
     lake = _bronze(spark, sf, "backfill")
     messages = L.bronze(spark, lake).drop("ingestion_date")
-    gated = P.settle(G.gate(messages, V.AS_OF), lake.path("work", "first"))
+    gated = P.settle(G.gate(messages, V.AS_OF, columns=S.fact_columns()), lake.path("work", "first"))
     S.load_event_fact(spark, lake, G.accepted(gated), gated.count())
     B.backfill(spark, lake, "2024-01-10", "2024-01-16", V.AS_OF, RUN)
     return _silver_counts(L.event_fact(spark, lake))
