@@ -9,6 +9,8 @@ from lendmill.operators import gate as G
 from lendmill.operators import report as R
 from lendmill.sinks import layers as S
 from lendmill.sources import testviews as V
+from lendmill.streaming import jobs as J
+from registry import streams
 
 
 def plan(df):
@@ -63,3 +65,15 @@ def test_ranges_hold_all_messages_in_order(spark, tables):
     parts = [[r["offset"] for r in part] for part in ranged.rdd.glom().collect()]
     ends = [(min(p), max(p)) for p in parts if p]
     assert len(ends) == 5 and all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_a_small_micro_batch_comes_in_few_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert J._by_rows(spark.range(100, numPartitions=64), 100).rdd.getNumPartitions() == cores
+    assert J._by_rows(spark.range(100, numPartitions=64), 20 * J.ROWS_PER_TASK).rdd.getNumPartitions() == 20
+
+
+def test_a_micro_batch_has_several_files(spark, tables, monkeypatch):
+    assert streams._files(spark, tables, "events") == 1
+    monkeypatch.setattr(streams, "FEW_ROWS", 20)
+    assert streams._files(spark, tables, "events") == 5
