@@ -73,6 +73,20 @@ def test_many_copies_end_at_one_node(spark, monkeypatch):
     same(spark, [(c * 20, t, "user", f"t{t}") for c in range(-60, 400) for t in range(3)])
 
 
+def test_turns_of_equal_number_are_ordered_by_their_whole_text(spark):
+    draw = random.Random(11)
+    ended = [f"the same beginning of {x}" for x in ("a", "b b", "c c c", "\u00e9", "\uffee x", "\U0001f600 y z", "")]
+    said = sorted(((role, text) for role in ("assistant", "user") for text in [*ended, "short", ""]), key=lambda s: (s[0].encode(), s[1].encode()))
+    convs = {c: [(turn, said if c % 3 else said[: 9 + c % 5]) for turn in (None, 1, 7)] for c in (20, 21, 22, 23, 27, 39, 40, 41)}
+    rows, numbered = [], []
+    for c, blocks in convs.items():
+        rows += [(c, turn, *s) for turn, block in blocks for s in block]
+        numbered += [(c, t, *s) for t, s in enumerate(s for _, block in blocks for s in block)]
+    draw.shuffle(rows)
+    got = [tuple(r) for r in trie.node_table(frame(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, plain(numbered)))
+
+
 def test_no_rows(spark):
     assert trie.node_table(frame(spark, [])).count() == 0
     assert trie.node_table(frame(spark, [(None, 1, "user", "x")])).count() == 0
