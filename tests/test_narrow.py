@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from events import AS_OF, event, raw
 
+from lendmill import contract as C
 from lendmill.operators import gate as G
 from lendmill.operators import report as R
 from lendmill.sinks import layers as S
@@ -44,6 +45,16 @@ def test_wanted_columns_are_those_of_the_whole_gate(spark):
         assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.select(*got.columns).collect()))
 
 
+def test_a_batch_run_carries_texts_of_failing_records_alone(spark):
+    whole = G.gate(a_batch(spark), AS_OF)
+    narrow = G.gate(a_batch(spark), AS_OF, columns=S.run_columns(a_batch(spark))).persist()
+    assert sorted(narrow.columns) == sorted(whole.columns)
+    for of in (S.quarantine_rows, S.quarantine_lines, lambda g: G.issue_log(g).drop("kafka_key"), R.gate_counts, lambda g: S.event_fact_rows(G.accepted(g)).select(*C.event_fact_schema().names)):
+        assert sorted(map(repr, of(narrow).collect())) == sorted(map(repr, of(whole).collect()))
+    assert G.accepted(narrow).count() and not G.accepted(narrow).filter("raw_value is not null").count()
+    assert not G.quarantined(narrow).filter("raw_value is null or payload is not null").count()
+
+
 def test_texts_stay_where_they_are_judged(spark):
     def shuffled(df):
         return [line for line in plan(df).splitlines() if "min_by(struct" in line]
