@@ -4,24 +4,27 @@ Two small collections of half-keys, each of two minhash values, are computed per
 A table key is a pair of one half-key of either collection: 12 + 12 half-keys (48 minhash
 values) make 144 tables that would take 576 values if each had its own. A pair of documents
 of similarity 0.75 shares a key with probability 0.9999, more similar ones almost surely.
-A key can only be shared if both halves are, so half-keys that stand alone are dropped before
-keys are formed.
+Keys are not stored: rows are grouped by the half-keys of the first collection that are not
+alone, and a pair of a group is a candidate if a half-key of the second agrees as well.
 
-Documents with equal shingle sets are one node. Nodes that share a key are candidates, and
-candidates are confirmed on their full sets:
+Documents with equal shingle sets are one node. Pairs of nodes never become rows:
 
-1. in a few turns each node against one pivot of each of its tables; confirmed links merge
-   nodes;
-2. in every table whose nodes are not yet one component, all nodes outside its largest
-   component against all nodes of other components. Within the largest component every node
-   is linked already, so no link between different texts that share a table is left out.
+1. candidates are held to the ratio of set sizes (exact) and to a sketch, and of each group
+   just a forest of its candidate pairs is written. What they connect is a family;
+2. in each family all pairs that the sketches leave are compared on their full sets, and just
+   a forest of the links is written. Each text goes to one family, so no link between
+   different texts that share a table is left out.
 
-Candidate pairs are held to the ratio of set sizes (exact) and to a sketch of 1,024 bits: the
-least shingle of each of 1,024 bins, an empty bin taking the first filled one in a drawn order
-of its own, and one bit of each. Two equal bits more often than not estimate the similarity,
-with a deviation of 0.023 at 0.75 whatever the size of the sets, so a pair of similarity 0.75
-falls below the limit of 0.65 with probability 1e-5. Small sets, where two shingles in one bin
-weigh more, are held to a lower limit.
+Groups and families are dealt to pairs of blocks, whose rows meet in one task: of n rows each is
+repeated about sqrt(n / ``PER_BLOCK``) times, and blocks of large sets are smaller. The pairs
+of a group that are compared grow with the square of its size; what is kept, sent and written
+does not.
+
+A sketch has 1,024 bits: the least shingle of each of 1,024 bins, an empty bin taking the
+first filled one in a drawn order of its own, and one bit of each. Two equal bits more often
+than not estimate the similarity, with a deviation of 0.023 at 0.75 whatever the size of the
+sets, so a pair of similarity 0.75 falls below the limit of 0.65 with probability 1e-5. Small
+sets, where two shingles in one bin weigh more, are held to a lower limit.
 
 Defined cases: null and empty texts, and texts without words, are linked with nothing; fewer
 words than a shingle are one shingle; null ids take part, and a component's id is its
@@ -32,7 +35,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +54,11 @@ HALVES, VALUES = 12, 2
 #: Bits of a sketch, and least estimates of the similarity of a candidate pair: where both sets
 #: have ``SMALL_SET`` shingles or more, and below.
 SKETCH_BITS, LEAST_ESTIMATE, LEAST_OF_SMALL, SMALL_SET = 1024, 0.65, 0.5, 50
-#: Turns of step 1; what they leave open is left to step 2, which is complete by itself.
-STAR_TURNS = 3
+#: Of a group of n rows about sqrt(n / this) blocks are made, of half-key groups and of families;
+#: shingles of a block, about.
+PER_BLOCK, PER_FAMILY_BLOCK, BLOCK_SHINGLES = 64, 16, 1 << 19
+#: Bits of the filter that rows pass before they are joined by mark (a power of two); bits of a row of it.
+FILTER_BITS, FILTER_ROW = 1 << 25, 1 << 15
 
 
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +93,8 @@ def sketch_bits(shingles: np.ndarray, orders: np.ndarray) -> bytes:
 
 
 def estimates(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Similarities by the sketches in the rows of two arrays of bytes."""
-    return 1 - 2 * np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) / SKETCH_BITS
+    """Similarities by the sketches in the rows of two arrays of bits, or of one and a row."""
+    return 1 - 2 * np.bitwise_count(one ^ two).sum(axis=-1, dtype=np.int64) / SKETCH_BITS
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,50 +133,112 @@ def sketches(docs: DataFrame, row: Column | None = None) -> DataFrame:
     return in_tasks(rows, _sketch, "doc_id long, mark long, row long, n_shingles long, node long, halves array<bigint>, sketch binary")
 
 
-def table_rows(nodes: DataFrame) -> DataFrame:
-    """(key, node) of every table key that at least two nodes share, with ``n``, their number."""
-    half = nodes.select("node", F.posexplode("halves").alias("side", "half"))
-    half = written(half.select("node", "side", F.col("half").alias("h")), "halves")
-    shared = written(half.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "shared-halves")
-    lists = (
-        half.join(shared, "h").groupBy("node").agg(
-            F.collect_set(F.when(F.col("side") < HALVES, F.col("h"))).alias("a"), F.collect_set(F.when(F.col("side") >= HALVES, F.col("h"))).alias("b")
-        )
-    )
-    keys = written(lists.select("node", "b", F.explode("a").alias("one")).select("node", "one", F.explode("b").alias("two")).select(F.xxhash64("one", "two").alias("key"), "node"), "keys")
-    tables = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "tables")
-    return written(keys.join(tables, "key"), "table-rows")
-
+def blocked(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Rows of a group dealt to ``blocks`` blocks by node. A row is repeated for each pair
+    (i, j) of its own block and another, so that all pairs of a group meet, and rows of one
+    (group, i, j) stand together in one partition."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = met.select("*", F.col(group).alias("at"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return dealt.repartition("at", "i", "j").sortWithinPartitions("at", "i", "j")
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[int, np.ndarray] = {}
-    unpack = zstandard.ZstdDecompressor()
-
-    def shingles(node: int, packed: bytes) -> np.ndarray:
-        if node not in known:
-            if len(known) >= 64:
-                known.pop(next(iter(known)))
-            data = np.frombuffer(unpack.decompress(packed), np.uint8)
-            known[node] = words.shingle_sets(data, np.array([0, len(data)]), SHINGLE)[0]
-        return known[node]
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each (at, i, j) that has several."""
+    held, last = [], None
     for batch in batches:
-        xs, ys = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-        good = []
-        for x, y, zx, zy in zip(xs, ys, batch.column("zx"), batch.column("zy"), strict=True):
-            a, b = shingles(x, zx.as_py()), shingles(y, zy.as_py())
-            common = len(a) + len(b) - len(np.union1d(a, b))
-            good.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-        kept = pa.array(good, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("x").filter(kept), batch.column("y").filter(kept)], names=["x", "y"])
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("at", "i", "j")], axis=1)
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(keys[a].tolist())
+            if key != last:
+                if sum(map(len, held)) > 1:
+                    yield pa.concat_batches(held)
+                held, last = [], key
+            held.append(batch.slice(a, b - a))
+    if sum(map(len, held)) > 1:
+        yield pa.concat_batches(held)
+
+
+def forest(run: pa.RecordBatch, links: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
+    """Of the rows of one (at, i, j): places x and y of linked pairs that connect all that links
+    connect. ``links`` gives of a row and others those that are linked, and is asked about
+    pairs of alike sizes and sketches that are not connected yet."""
+    own, sizes = run.column("own").to_numpy(), run.column("n_shingles").to_numpy()
+    sketches = tokens.buffers(run.column("sketch"))[0].reshape(run.num_rows, -1).copy().view(np.uint64)
+    across = run.column("i")[0] != run.column("j")[0]
+    label, xs, ys = np.arange(run.num_rows), [], []
+    for x in range(run.num_rows - 1):
+        others = x + 1 + np.flatnonzero(label[x + 1 :] != label[x])
+        if across:
+            others = others[own[others] != own[x]]
+        least = np.minimum(sizes[others], sizes[x])
+        ratio = 100 * least >= PERCENT * np.maximum(sizes[others], sizes[x])
+        others, least = others[ratio], least[ratio]
+        others = others[estimates(sketches[others], sketches[x]) >= np.where(least < SMALL_SET, LEAST_OF_SMALL, LEAST_ESTIMATE)]
+        for y in links(x, others).tolist() if len(others) else ():
+            if label[y] != label[x]:
+                xs.append(x)
+                ys.append(y)
+                label[label == label[y]] = label[x]
+    return xs, ys
+
+
+def _edges(run: pa.RecordBatch, xs: list[int], ys: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([run.column("node").take(pa.array(places, pa.int64())) for places in (xs, ys)], names=["x", "y"])
+
+
+def _related(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for run in _runs(batches):
+        second = run.column("second").flatten().to_numpy().reshape(run.num_rows, -1)
+        xs, ys = forest(run, lambda x, others, second=second: others[(second[others] == second[x]).any(axis=1)])
+        if xs:
+            yield _edges(run, xs, ys)
+
+
+def families(nodes: DataFrame) -> DataFrame:
+    """node and label of every node that candidate pairs connect with others."""
+    half = written(nodes.select("node", F.explode(F.slice("halves", 1, HALVES)).alias("half")), "halves")
+    shared = written(half.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-halves")
+    facts = nodes.select("node", "n_shingles", "sketch", F.slice("halves", HALVES + 1, HALVES).alias("second"))
+    members = half.join(shared, "half").join(facts, "node")
+    dealt = blocked(members, "half", F.greatest(F.floor(F.sqrt(F.col("n") / PER_BLOCK)), F.lit(1)))
+    related = in_tasks(dealt.select("at", "i", "j", "own", "node", "n_shingles", "sketch", "second"), _related, "x long, y long")
+    return components(written(related, "related"))
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose full shingle sets are similar enough."""
-    pairs = written(pairs, "pairs")
-    first = pairs.join(texts.select(F.col("node").alias("y"), F.col("packed").alias("zy")), "y")
-    both = first.join(texts.select(F.col("node").alias("x"), F.col("packed").alias("zx")), "x")
-    return written(in_tasks(both.select("x", "y", "zx", "zy"), _confirm, "x long, y long"), "links")
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
+    for run in _runs(batches):
+        raw = pa.array([unpack.decompress(packed) for packed in run.column("packed").to_pylist()], pa.large_binary())
+        sets = [found for _, _, data, offsets in tokens.slices(raw) for found in words.shingle_sets(data, offsets, SHINGLE)]
+        names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        at, seen = np.cumsum([0, *map(len, sets)]), np.zeros(len(names), bool)
+        sizes = np.diff(at)
+
+        def links(x: int, others: np.ndarray, ids=ids, at=at, seen=seen, sizes=sizes) -> np.ndarray:
+            own = ids[at[x] : at[x + 1]]
+            seen[own] = True
+            hits = seen[np.concatenate([ids[at[y] : at[y + 1]] for y in others.tolist()])]
+            seen[own] = False
+            ends = np.cumsum(sizes[others])
+            common = np.add.reduceat(hits, ends - sizes[others], dtype=np.int64)
+            return others[100 * common >= PERCENT * (sizes[x] + sizes[others] - common)]
+
+        xs, ys = forest(run, links)
+        if xs:
+            yield _edges(run, xs, ys)
+
+
+def confirmed(nodes: DataFrame, grouped: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (x, y) of full shingle sets that connect what all links of a family connect."""
+    members = written(grouped.join(nodes.select("node", "n_shingles", "sketch"), "node"), "members")
+    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.greatest(F.floor(F.sqrt(F.col("n") / PER_FAMILY_BLOCK)), F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.lit(1))
+    dealt = blocked(members.join(sizes, "label").join(texts, "node"), "label", blocks)
+    return written(in_tasks(dealt.select("at", "i", "j", "own", "node", "n_shingles", "sketch", "packed"), _confirm, "x long, y long"), "links")
 
 
 def _name(shingles: np.ndarray) -> int:
@@ -193,67 +261,17 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield right.filter(right.column("packed").is_valid())
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sx", "sy"))
-        kept = pa.array(estimates(one, two) >= np.where(batch.column("small").to_numpy(zero_copy_only=False), LEAST_OF_SMALL, LEAST_ESTIMATE))
-        yield pa.RecordBatch.from_arrays([batch.column("x").filter(kept), batch.column("y").filter(kept)], names=["x", "y"])
-
-
-def _small() -> Column:
-    return (F.least("nx", "ny") < SMALL_SET).alias("small")
-
-
-def unsettled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(key, node, label, top) of tables whose nodes are in several components; ``top`` is the
-    component that has most of them."""
-    if labels is None:
-        labelled = rows.select("key", "node", F.col("node").alias("label"))
-    else:
-        labelled = written(rows.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    open_tables = written(sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("top.label").alias("top")), "open-tables")
-    return written(labelled.join(open_tables, "key"), "unsettled")
-
-
-def star_pairs(rows: DataFrame, weights: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
-    """Candidate pairs of each node with one pivot of each of its tables, in another component:
-    as many at most as table rows. The first turn takes the node of most company as a table's
-    pivot (the original of a group of edited copies shares tables with more of them than any
-    copy does); later turns draw one from the largest component and one from the others."""
-    ranked = rows if turn else rows.join(weights, "node")
-    rank = F.xxhash64("node", "key", F.lit(turn)) if turn else F.col("weight")
-    one = F.struct(rank.alias("rank"), "node", "label")
-    inside = F.max(F.when(F.col("label") == F.col("top"), one) if turn else one)
-    other = F.max(F.when(F.col("label") != F.col("top"), one) if turn else one)
-    pivots = written(ranked.groupBy("key").agg(inside.alias("inside"), other.alias("other")), "pivots")
-    pivot = F.when(F.col("label") != F.col("inside.label"), F.col("inside")).when(F.col("label") != F.col("other.label"), F.col("other"))
-    met = rows.join(pivots, "key").select("node", pivot.alias("pivot")).filter("pivot is not null")
-    pairs = written(met.select(F.least("node", "pivot.node").alias("x"), F.greatest("node", "pivot.node").alias("y")).distinct(), "stars")
-    facts = nodes.select("node", "n_shingles", "sketch")
-    left = facts.select(F.col("node").alias("x"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("sx"))
-    right = facts.select(F.col("node").alias("y"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("sy"))
-    sized = pairs.join(left, "x").join(right, "y").filter(100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
-    return in_tasks(sized.select("x", "y", "sx", "sy", _small()), _alike, "x long, y long")
-
-
-def all_pairs_left(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """What stars leave open: in each unsettled table the nodes outside its largest component
-    with all nodes of other components."""
-    members = written(rows.join(nodes.select("node", "n_shingles", "sketch"), "node"), "members")
-
-    def side(x: str) -> DataFrame:
-        return members.select("key", F.col("top"), F.col("node").alias(x), F.col("label").alias(f"l{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-
-    outside = side("x").filter(F.col("lx") != F.col("top")).drop("top")
-    pairs = outside.join(side("y"), "key").filter(
-        (F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y")))
-        & (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
-    )
-    alike = in_tasks(pairs.select("x", "y", "sx", "sy", _small()), _alike, "x long, y long")
-    return alike.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+def maybe_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``mark`` may be one of the wanted: all that are and, of 2**25 bits where n
+    are set, a share n / 2**25 of the others, which are not shuffled then."""
+
+    def place(of: int) -> Column:
+        return F.pmod("mark", F.lit(FILTER_BITS)) % of
+
+    row = F.floor(place(FILTER_BITS) / FILTER_ROW).alias("__bits")
+    bits = F.broadcast(wanted.groupBy(row).agg(F.bitmap_construct_agg(place(FILTER_ROW)).alias("__set")))  # FILTER_BITS / 8 bytes at most
+    byte = F.conv(F.hex(F.substring("__set", F.floor(place(FILTER_ROW) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.withColumn("__bits", row).join(bits, "__bits").filter(F.pmod(F.floor(byte / F.pow(F.lit(2), place(8))), F.lit(2)) == 1).select(*rows.columns)
 
 
 def _least(*names: str) -> Column:
@@ -270,31 +288,16 @@ def grouped_nodes(docs: DataFrame, rows: DataFrame) -> DataFrame:
         ).select("node", "least.doc_id", "least.mark", "least.row", "n_shingles", "halves", "sketch"),
         "nodes",
     )
-    tables = table_rows(nodes)
-    wanted = written(tables.select("node").distinct().join(nodes.select("node", "doc_id", "mark"), "node"), "wanted")
+    family = families(nodes)
+    wanted = written(family.select("node").join(nodes.select("node", "doc_id", "mark"), "node"), "wanted")
     lost = F.lit(-(1 << 62))
     # By id and text, so that rows of one id, or of none, meet just the node of their own text.
-    found = text_rows(docs).select(F.coalesce("doc_id", lost).alias("id"), F.xxhash64("text").alias("mark"), "text").join(
-        wanted.select("node", F.coalesce("doc_id", lost).alias("id"), "mark"), ["id", "mark"]
-    )
+    marked = text_rows(docs).select(F.coalesce("doc_id", lost).alias("id"), F.xxhash64("text").alias("mark"), "text")
+    found = maybe_among(marked, wanted).join(wanted.select("node", F.coalesce("doc_id", lost).alias("id"), "mark"), ["id", "mark"])
     packed = in_tasks(found.select("node", "text"), _pack, "node long, packed binary")
     # Rows that are equal in both: one of them is enough.
     texts = written(packed.groupBy("node").agg(F.first("packed").alias("packed")), "texts")
-    weights = written(tables.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
-    links, labels, turn = None, None, 0
-    while True:
-        rows_left = unsettled(tables, labels)
-        fresh = confirmed(star_pairs(rows_left, weights, nodes, turn), texts)
-        some = fresh.limit(1).count() > 0
-        if some:
-            links = fresh if links is None else links.union(fresh)
-            labels = components(links)
-        turn += 1
-        if not some or turn >= STAR_TURNS:
-            break
-    more = confirmed(all_pairs_left(unsettled(tables, labels), nodes), texts)
-    links = more if links is None else links.union(more)
-    labels = components(links)
+    labels = components(confirmed(nodes, family, texts))
     return written(nodes.select("node", "doc_id", "mark", "row").join(labels, "node", "left").select("node", "doc_id", "mark", "row", F.coalesce("label", "node").alias("label")), "grouped")
 
 
