@@ -278,15 +278,13 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored next to them, so nothing is joined by id."""
     model = train(docs, labels)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_WORDS
-    filled = docs.withColumn("__text", F.coalesce("text", F.lit("")))
     fields = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
         for batch in batches:
-            names = batch.schema.names
-            texts = pa.RecordBatch.from_arrays([batch.column(names.index("__text"))], names=["text"])
+            texts = pa.RecordBatch.from_arrays([batch.column("text").fill_null("")], names=["text"])
             good = pa.array([own.probability(own.features(found, n)) < THRESHOLD for _, n, found, *_ in _segments(own, texts)], pa.bool_())
-            yield batch.select([n for n in names if n != "__text"]).filter(good)
+            yield batch.filter(good)
 
-    return in_tasks(filled, run, fields)
+    return in_tasks(docs, run, fields)

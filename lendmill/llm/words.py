@@ -15,6 +15,8 @@ PRIME = (1 << 61) - 1
 _P = np.uint64(PRIME)
 _LOW31, _LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 BASE = 0x13C6EF372FE94F82 % PRIME
+#: Powers that a worker keeps, for texts worked on a mebibyte at a time; longer texts have their own.
+KEPT_POWERS = (1 << 20) + 2
 #: Bytes of a range whose sums stay below 2**64; a longer word is hashed by itself.
 LONGEST_WORD = 1 << 22
 _POWERS: dict[str, np.ndarray] = {}
@@ -37,9 +39,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         for name, base in (("up", BASE), ("down", pow(BASE, -1, PRIME))):
             found = np.ones(1, np.uint64)
-            while len(found) < max(n, 1 << 21):
+            while len(found) < max(n, KEPT_POWERS):
                 found = np.concatenate([found, times(found, np.uint64(pow(base, len(found), PRIME)))])
-            _POWERS[name] = found
+            _POWERS[name] = found[:KEPT_POWERS].copy() if n <= KEPT_POWERS else found
         # For bytes the two parts of a power are multiplied by themselves.
         _POWERS["high"], _POWERS["low"] = _POWERS["up"] >> np.uint64(31), _POWERS["up"] & _LOW31
     return _POWERS["up"][:n], _POWERS["down"][:n]
